@@ -17,14 +17,14 @@ from __future__ import annotations
 
 import re
 from calendar import monthrange
-from datetime import date
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loquela.functions.timeutil import DAY_US, ZONES, resolve_wall
+from loquela.functions.timeutil import DAY_US, ZONES
 
 #: Month names and their usual short forms, Italian and English.
 MONTHS = {
@@ -62,11 +62,7 @@ _COMPILED = {k: re.compile(p, re.ASCII) for k, p in {**PATTERNS, "epoch": r"^\d{
 _ZONE_SET = frozenset(ZONES)
 
 
-_PARSED = T.StructType(
-    [T.StructField("kind", T.StringType())]
-    + [T.StructField(n, T.LongType()) for n in ("dmy", "mdy", "epoch")]
-    + [T.StructField("offset", T.IntegerType()), T.StructField("zone_bad", T.BooleanType()), T.StructField("zone", T.StringType())]
-)
+_PARSED = "kind string, dmy long, mdy long, utc_dmy long, utc_mdy long, state_dmy string, state_mdy string"
 _EPOCH0 = date(1970, 1, 1).toordinal()
 
 
@@ -122,22 +118,52 @@ def parse_value(raw: str) -> tuple:
     return (kind, first, second, None, offset, bad, name)
 
 
+def place(local_us: int | None, offset: int | None, zone: str | None) -> tuple[int | None, str]:
+    """The instant of a wall time by its offset, else by its zone, and 'resolved', or why there is none."""
+    if local_us is None:
+        return None, "impossible"
+    if offset is not None:
+        return local_us - offset * 60_000_000, "resolved"
+    if zone not in _ZONE_SET:
+        return None, "unknown_zone"
+    wall = datetime(1970, 1, 1) + timedelta(microseconds=local_us)
+    tz = ZoneInfo(zone)
+    early, late = (wall.replace(tzinfo=tz, fold=fold).utcoffset() for fold in (0, 1))
+    if early != late:
+        return None, "twice" if early > late else "never"
+    return local_us - early // timedelta(microseconds=1), "resolved"
+
+
+def _row(value: object, tz: object) -> tuple:
+    if not isinstance(value, str) or not value.strip():
+        return None, None, None, None, None, "null", "null"
+    kind, dmy, mdy, epoch, offset, bad, name = parse_value(value)
+    if epoch is not None:
+        return kind, epoch, epoch, epoch, epoch, "resolved", "resolved"
+    if kind is None or bad:
+        return None, None, None, None, None, "unreadable", "unreadable"
+    zone = name or tz
+    utc_d, state_d = place(dmy, offset, zone)
+    utc_m, state_m = place(mdy, offset, zone) if mdy != dmy else (utc_d, state_d)
+    return kind, dmy, mdy, utc_d, utc_m, state_d, state_m
+
+
 @F.pandas_udf(_PARSED)
-def _parse(values: pd.Series) -> pd.DataFrame:
-    rows = [parse_value(v) if isinstance(v, str) else (None,) * 5 + (False, None) for v in values]
-    out = {f.name: pd.Series([r[i] for r in rows], dtype=t) for i, (f, t) in enumerate(zip(_PARSED, ("object", "Int64", "Int64", "Int64", "Int32", "bool", "object")))}
-    return pd.DataFrame(out)
+def _parse(values: pd.Series, zones: pd.Series) -> pd.DataFrame:
+    rows = [_row(v, z) for v, z in zip(values, zones)]
+    types = {"kind": "object", "dmy": "Int64", "mdy": "Int64", "utc_dmy": "Int64", "utc_mdy": "Int64", "state_dmy": "object", "state_mdy": "object"}
+    return pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=t) for i, (n, t) in enumerate(types.items())})
 
 
 def parse(df: DataFrame, value: str, tz: str) -> DataFrame:
-    """Add `_kind`, the wall times under either reading (`_dmy`, `_mdy`), `_epoch`, `_offset`, `_zone_bad` and `_zone`.
+    """Add `_kind`, and under either reading, day first and month first, the wall time, the instant and its state.
 
     Notations differ too much for one JVM expression (the generated code passes the JVM's method limits), so the fields
     come from one Arrow-batched function; everything after it stays in the JVM.
     """
-    df = df.withColumn("_p", _parse(F.col(value)))
-    names = {"_kind": "kind", "_dmy": "dmy", "_mdy": "mdy", "_epoch": "epoch", "_offset": "offset", "_zone_bad": "zone_bad"}
-    return df.withColumns({k: F.col(f"_p.{v}") for k, v in names.items()} | {"_zone": F.coalesce(F.col("_p.zone"), F.col(tz))}).drop("_p")
+    df = df.withColumn("_p", _parse(F.col(value), F.col(tz)))
+    names = ("kind", "dmy", "mdy", "utc_dmy", "utc_mdy", "state_dmy", "state_mdy")
+    return df.withColumns({f"_{n}": F.col(f"_p.{n}") for n in names}).drop("_p")
 
 
 def learn_orders(parsed: DataFrame, source: str, iterations: int = 40, prior: float = 0.01) -> DataFrame:
@@ -172,25 +198,16 @@ def normalise(
     w = F.coalesce(F.col("_w_dmy"), F.lit(0.5))
     d, m = F.col("_dmy").isNotNull(), F.col("_mdy").isNotNull()
     like_d, like_m = F.when(d, w).otherwise(0.0), F.when(m, 1 - w).otherwise(0.0)
-    total = like_d + like_m + noise
     same = F.col("_dmy").eqNullSafe(F.col("_mdy"))
-    post = F.when((F.col("_kind") != "numeric") | same, 1.0).otherwise(F.greatest(like_d, like_m) / total)
-    local = F.when(same | (like_d >= like_m), F.col("_dmy")).otherwise(F.col("_mdy"))
-    joined = joined.withColumn("posterior", F.when(F.col("_kind").isNotNull(), post)).withColumn("_local", F.when(post >= threshold, local))
-    joined = resolve_wall(joined, "_local", "_zone", "_wall", "_wall_status")
-    readable = F.col("_kind").isNotNull() & ~F.col("_zone_bad")
-    fixed = F.col("_local") - F.col("_offset").cast("long") * 60_000_000
-    utc = F.when(F.col("_epoch").isNotNull(), F.col("_epoch")).when(readable & F.col("_offset").isNotNull(), fixed).when(readable, F.col("_wall"))
-    status = (
-        F.when(F.col("_raw").isNull() | (F.trim(F.col("_raw")) == ""), "null")
-        .when(~readable, "unreadable")
-        .when(F.col("_epoch").isNotNull(), "resolved")
-        .when(~d & ~m, "impossible")
-        .when(F.col("_local").isNull(), "ambiguous_order")
-        .when(F.col("_offset").isNotNull(), "resolved")
-        .otherwise(F.col("_wall_status"))
+    post = F.when((F.col("_kind") != "numeric") | same, 1.0).otherwise(F.greatest(like_d, like_m) / (like_d + like_m + noise))
+    sure, day_first = post >= threshold, same | (like_d >= like_m)
+    chosen = lambda a, b: F.when(day_first, F.col(a)).otherwise(F.col(b))
+    return joined.select(
+        *keys,
+        F.when(sure, chosen("_utc_dmy", "_utc_mdy")).alias("utc_us"),
+        F.when(F.col("_kind").isNotNull(), post).alias("posterior"),
+        F.when(F.col("_kind").isNull() | same | sure, chosen("_state_dmy", "_state_mdy")).otherwise("ambiguous_order").alias("status"),
     )
-    return joined.select(*keys, utc.cast("long").alias("utc_us"), "posterior", status.alias("status"))
 
 
 def session_instants(sessions: DataFrame, wearers: DataFrame) -> DataFrame:
