@@ -148,7 +148,6 @@ def _row(value: object, tz: object) -> tuple:
     return kind, dmy, mdy, utc_d, utc_m, state_d, state_m
 
 
-@F.pandas_udf(_PARSED)
 def _parse(values: pd.Series, zones: pd.Series) -> pd.DataFrame:
     rows = [_row(v, z) for v, z in zip(values, zones)]
     types = {"kind": "object", "dmy": "Int64", "mdy": "Int64", "utc_dmy": "Int64", "utc_mdy": "Int64", "state_dmy": "object", "state_mdy": "object"}
@@ -161,7 +160,7 @@ def parse(df: DataFrame, value: str, tz: str) -> DataFrame:
     Notations differ too much for one JVM expression (the generated code passes the JVM's method limits), so the fields
     come from one Arrow-batched function; everything after it stays in the JVM.
     """
-    df = df.withColumn("_p", _parse(F.col(value), F.col(tz)))
+    df = df.withColumn("_p", F.pandas_udf(_parse, _PARSED)(F.col(value), F.col(tz)))
     names = ("kind", "dmy", "mdy", "utc_dmy", "utc_mdy", "state_dmy", "state_mdy")
     return df.withColumns({f"_{n}": F.col(f"_p.{n}") for n in names}).drop("_p")
 
