@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquela.session import cut
+
 #: Width of a time bucket; a parameter of merge_intervals.
 BUCKET_US = 30 * 86_400_000_000
 
@@ -65,7 +67,7 @@ def merge_intervals(intervals: DataFrame, bucket_us: int = BUCKET_US) -> DataFra
         .withColumn("bucket", F.floor(F.col("from_us") / bucket_us).cast("long"))
     )
     schema = "entity long, bucket long, from_us long, to_us long"
-    local = clean.groupBy("entity", "bucket").applyInPandas(_merge_key, schema)
+    local = cut(clean.groupBy("entity", "bucket").applyInPandas(_merge_key, schema))
 
     # A bucket's periods that begin at or before the latest end of earlier buckets go on with the period there.
     per_bucket = local.groupBy("entity", "bucket").agg(F.max("to_us").alias("most"))
