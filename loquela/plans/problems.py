@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquela.operators import intervals, timestamps
+from loquela.operators import intervals, spikes, timestamps
 from loquela.tables import table
 
 
@@ -30,5 +30,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("kind", F.col("entity").alias("wearer_id"), "from_us", "to_us")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_instants, p1_status, p4_found)}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spikes.wrong_values(*(table(spark, sf_dir, n) for n in ("segments", "speaker_map", "helio_battito")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_instants, p1_status, p4_found, p5_found)}
 SQL: dict[str, str] = {}
