@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loquela.functions.timeutil import clock_parts, resolve_wall
-from loquela.llm import byte_bpe, nearest_time, turns
+from loquela.llm import byte_bpe, mixing, nearest_time, neighbours, turns
 from loquela.operators import timestamps
 from loquela.tables import table
 
@@ -33,6 +33,10 @@ def reading_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_wall(walls, "wall", "tz", "at").select(F.col("wearer_id").alias("entity"), "at", "id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.pairs(neighbours.nearest_vectors(table(spark, sf_dir, "speakers_db"), "voice_id", "centroid", 128))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = nearest_time.nearest_in_time(segment_times(spark, sf_dir), reading_times(spark, sf_dir), TOLERANCE_US)
     return matched.select(F.col("left_id").alias("segment_id"), F.col("right_id").alias("reading_id"))
@@ -46,5 +50,15 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_found, p7_ids)}
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of the mixture with the parts of documents it holds."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of all tokens each source reached, measured on the mixture."""
+    return mixing.shares(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p6_found, p7_ids, p8_mix, p8_shares)}
 SQL: dict[str, str] = {}
