@@ -4,8 +4,8 @@ A hierarchical k-means tree is fitted on the driver from a bounded sample (`SAMP
 broadcast; its size follows from the sample alone. Every distinct vector is indexed: it lies in the leaf that best-bin-
 first traversal reaches first. As a query it goes on through the priority queue and visits more leaves; how many is
 calibrated on held-out queries of the sample, widening until brute force there is met to `TARGET_RECALL`. Queries and
-members meet per leaf in one shuffle, blocks of queries are multiplied with the leaf's matrix, and only a block's best k
-go on to be merged. Hot leaves: queries are salted into blocks of bounded size, and since the tree splits the sample
+members meet per leaf in one shuffle and serve both directions: blocks of queries are multiplied with the leaf's matrix,
+and only the best k of each query and of each member go on to be merged. Hot leaves: queries are salted into blocks of bounded size, and since the tree splits the sample
 evenly, a crowded region has as many leaves as rows.
 
 Exact copies are folded first, so a group of copies of any size is one vector: of its ids the k + 1 smallest settle the
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loquela.session import cut
 
-SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL, MAX_LEAVES = 16_384, 16, 24, 512, 0.995, 256
+SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL, MAX_LEAVES = 16_384, 512, 48, 512, 0.997, 64
 #: Queries of one block of a leaf.
 BLOCK = 8192
 
@@ -92,21 +92,23 @@ class KMeansTree:
         return out
 
     def calibrate(self, x: np.ndarray, k: int, least: float, held_out: int = HELD_OUT, target: float = TARGET_RECALL) -> int:
-        """Leaves to visit until held-out queries meet their brute-force neighbours in the sample."""
-        home = np.array([v[0] for v in self.visit(x, 1)])
+        """Leaves to visit until held-out queries meet their brute-force neighbours in the sample.
+
+        A pair meets if either vector visits the leaf of the other, since a leaf serves both directions.
+        """
         queries = np.arange(min(held_out, len(x)))
         sims = x[queries].astype(np.float64) @ x.T.astype(np.float64)
         sims[queries, queries] = -2
         best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        true = [home[b[sims[q, b] >= least]] for q, b in zip(queries, best)]
-        total = sum(map(len, true))
+        found = [(q, b) for q in queries for b in best[q] if sims[q, b] >= least]
+        needed = sorted({i for pair in found for i in pair})
+        visits = dict(zip(needed, self.visit(x[needed], MAX_LEAVES)))
         n = 1
         while n < min(MAX_LEAVES, self.leaves):
-            visits = self.visit(x[queries], n)
-            met = sum(int(np.isin(t, v).sum()) for t, v in zip(true, visits))
-            if met >= target * total:
+            met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in found)
+            if met >= target * len(found):
                 break
-            n = max(n + 1, int(n * 1.4))
+            n += 1
         return n
 
     def dump(self) -> bytes:
@@ -176,32 +178,46 @@ def _router(tree, n_leaves: int, salts: int):
     return run
 
 
+def _top(values: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest of each row with their ids, ties by smaller id; `ids` is one row for all, or one per row."""
+    width = min(values.shape[1], k)
+    if values.shape[1] > 4 * k:  # keep all that reach the k-th value, so that ties are settled by id
+        bound = np.partition(values, values.shape[1] - width, axis=1)[:, values.shape[1] - width]
+        most = int((values >= bound[:, None]).sum(1).max())
+        keep = np.argpartition(-values, min(most, values.shape[1]) - 1, axis=1)[:, :most]
+        values, ids = np.take_along_axis(values, keep, 1), ids[keep] if ids.ndim == 1 else np.take_along_axis(ids, keep, 1)
+    elif ids.ndim == 1:
+        ids = np.broadcast_to(ids, values.shape)
+    order = np.lexsort((ids, -values), axis=1)[:, :width]
+    return np.take_along_axis(values, order, 1), np.take_along_axis(ids, order, 1)
+
+
 def _leaf_best(k: int, least: float):
+    """The best k members for each query of a block, and the best k queries for each member."""
+
     def run(table: pa.Table) -> pa.Table:
-        role = table.column("role").to_numpy()
-        uid = table.column("uid").to_numpy()
+        role, uid = table.column("role").to_numpy(), table.column("uid").to_numpy()
         x = _unit(table.column("vec"))
-        members = np.flatnonzero(role == 0)
-        members = members[np.argsort(uid[members], kind="stable")]
-        queries = np.flatnonzero(role == 1)
-        m, ids = x[members].T, uid[members]
-        left, right, cos = [], [], []
-        for start in range(0, len(queries) if len(members) else 0, 512):
-            q = queries[start : start + 512]
-            s = x[q] @ m
-            s[uid[q][:, None] == ids[None, :]] = -2
-            width = min(len(ids), k)
-            if len(ids) > 4 * k:  # all that reach the k-th value, so that ties are settled by id
-                bound = np.partition(s, len(ids) - width, axis=1)[:, len(ids) - width][:, None]
-                s = np.where(s >= np.maximum(bound, least), s, -2)
-            order = np.argsort(-s, axis=1, kind="stable")[:, :width]
-            value = np.take_along_axis(s, order, 1)
-            r, c = np.nonzero(value >= least)
-            left.append(uid[q][r])
-            right.append(ids[order[r, c]])
-            cos.append(value[r, c])
-        cat = lambda parts, dtype: np.concatenate(parts) if parts else np.zeros(0, dtype)
-        return pa.table({"uid": cat(left, np.int64), "other": cat(right, np.int64), "cos": cat(cos, np.float64)})
+        members, queries = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def emit(owner: np.ndarray, values: np.ndarray, ids: np.ndarray) -> None:
+            r, c = np.nonzero(values >= least)
+            out.append((owner[r], ids[r, c], values[r, c]))
+
+        if len(members) and len(queries):
+            m, own = x[members].T, uid[members]
+            best_v, best_i = np.full((len(members), 1), -2.0), np.zeros((len(members), 1), np.int64)
+            for start in range(0, len(queries), 1024):
+                q = queries[start : start + 1024]
+                s = x[q] @ m
+                s[uid[q][:, None] == own[None, :]] = -2
+                emit(uid[q], *_top(s, own, k))
+                v, i = _top(np.ascontiguousarray(s.T), uid[q], k)
+                best_v, best_i = _top(np.hstack([best_v, v]), np.hstack([best_i, i]), k)
+            emit(own, best_v, best_i)
+        cat = lambda n, dtype: np.concatenate([o[n] for o in out]) if out else np.zeros(0, dtype)
+        return pa.table({"uid": cat(0, np.int64), "other": cat(1, np.int64), "cos": cat(2, np.float64)})
 
     return run
 
@@ -218,6 +234,7 @@ def near_distinct(groups: DataFrame, k: int, least: float, sample: int = SAMPLE,
     shared = spark.sparkContext.broadcast(tree.dump())
     routed = groups.select("uid", "vec").mapInArrow(_router(shared, n_leaves, salts), "leaf int, salt int, role int, uid long, vec binary")
     best = routed.groupBy("leaf", "salt").applyInArrow(_leaf_best(k, least), "uid long, other long, cos double")
+    best = best.groupBy("uid", "other").agg(F.max("cos").alias("cos"))
     rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("cos"), "other"))
     return best.withColumn("_n", rank).filter(f"_n <= {k}").drop("_n")
 
