@@ -18,31 +18,6 @@ def known_zone(tz: Column) -> Column:
     return F.when(tz.isin(*ZONES), tz)
 
 
-def days_from_civil(year: Column, month: Column, day: Column) -> Column:
-    """Days since 1970-01-01 of a proleptic Gregorian date, by integer arithmetic (never raises)."""
-    y = F.when(month <= 2, year - 1).otherwise(year)
-    shifted = (month + 9) % 12
-    era_days = F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400)
-    return (y * 365 + era_days + F.floor((shifted * 153 + 2) / 5) + day - 1 - 719468).cast("long")
-
-
-def month_length(year: Column, month: Column) -> Column:
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    return (
-        F.when(month == 2, F.when(leap, 29).otherwise(28))
-        .when(month.isin(4, 6, 9, 11), 30)
-        .when((month >= 1) & (month <= 12), 31)
-        .otherwise(0)
-    )
-
-
-def valid_date(year: Column, month: Column, day: Column) -> Column:
-    return F.coalesce(
-        (year >= 1900) & (year <= 2200) & (month >= 1) & (month <= 12) & (day >= 1) & (day <= month_length(year, month)),
-        F.lit(False),
-    )
-
-
 def _shown(utc_us: Column, tz: Column) -> Column:
     """Wall time (as microseconds) that a clock of `tz` shows at the instant."""
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(utc_us), tz))
@@ -70,12 +45,9 @@ def resolve_wall(df: DataFrame, local: str, tz: str, out: str, status: str | Non
 
 def clock_parts(date: Column, time: Column) -> Column:
     """Wall microseconds of `YYYY-MM-DD` and `HH:MM[:SS]`; hour 24 belongs to the next day; null if malformed."""
-    d = F.trim(date)
-    t = F.trim(time)
-    num = lambda c, pattern, g: F.regexp_extract(c, pattern, g).try_cast("int")
-    date_re, time_re = r"^(\d{4})-(\d{1,2})-(\d{1,2})$", r"^(\d{1,2}):(\d{2})(?::(\d{2}))?$"
-    y, mo, da = (num(d, date_re, g) for g in (1, 2, 3))
-    h, mi, s = num(t, time_re, 1), num(t, time_re, 2), F.coalesce(num(t, time_re, 3), F.lit(0))
-    good = valid_date(y, mo, da) & (h <= 24) & (mi <= 59) & (s <= 59)
-    seconds = days_from_civil(y, mo, da) * 86400 + h * 3600 + mi * 60 + s
-    return F.when(good, seconds * 1_000_000)
+    days = F.unix_date(F.when(F.length(F.trim(date)) >= 8, F.trim(date)).try_cast("date")).cast("long")
+    part = lambda i: F.split_part(F.trim(time), F.lit(":"), F.lit(i)).try_cast("int")
+    second = F.when(F.split_part(time, F.lit(":"), F.lit(3)) == "", 0).otherwise(part(3))
+    h, mi, s = part(1), part(2), second
+    good = h.between(0, 24) & mi.between(0, 59) & s.between(0, 59) & (F.split_part(time, F.lit(":"), F.lit(4)) == "")
+    return F.when(good, (days * 86400 + h * 3600 + mi * 60 + s) * 1_000_000)
