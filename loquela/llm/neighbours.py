@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 
 from loquela.session import cut
 
-SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL, MAX_LEAVES = 16_384, 512, 48, 512, 0.997, 64
+SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL, MAX_LEAVES = 16_384, 512, 48, 1024, 0.999, 64
+#: Leaves visited beyond the calibrated number.
+MARGIN = 4
 #: Queries of one block of a leaf.
 BLOCK = 8192
 
@@ -228,7 +230,7 @@ def near_distinct(groups: DataFrame, k: int, least: float, sample: int = SAMPLE,
     taken = groups.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(sample).toArrow()
     x = _unit(taken.column("vec")) if taken.num_rows else np.zeros((0, 1))
     tree = KMeansTree(x.astype(np.float32))
-    n_leaves = leaves or (tree.calibrate(x, k, least) if len(x) else 1)
+    n_leaves = leaves or (tree.calibrate(x, k, least) + MARGIN if len(x) else 1)
     n = groups.count()
     salts = max(1, -(-n * n_leaves // (tree.leaves * BLOCK)))
     shared = spark.sparkContext.broadcast(tree.dump())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loquela.functions.timeutil import clock_parts, resolve_wall
-from loquela.llm import byte_bpe, mixing, nearest_time, neighbours, turns
+from loquela.llm import byte_bpe, mixing, nearest_time, neighbours, truncation, turns
 from loquela.operators import timestamps
 from loquela.tables import table
 
@@ -60,5 +60,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p6_found, p7_ids, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.judge_ends(table(spark, sf_dir, "documents")).filter("truncated").select(F.col("id").alias("doc_id"))
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates."""
+    return truncation.truncation_rates(truncation.judge_ends(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_rates)}
 SQL: dict[str, str] = {}
