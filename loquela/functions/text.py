@@ -91,5 +91,7 @@ def initials(name: Column, clear: Column) -> Column:
 def keep_two_repeats(text: Column) -> Column:
     """The text with at most two successive copies of a sentence kept."""
     parts = F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: s != "")
-    kept = F.filter(parts, lambda s, i: (i < 2) | (s != F.get(parts, i - 1)) | (s != F.get(parts, i - 2)))
+    none = F.array(F.lit(None).cast("string"))
+    beside = F.arrays_zip(parts.alias("s"), F.concat(none, parts).alias("a"), F.concat(none, none, parts).alias("b"))
+    kept = F.transform(F.filter(beside, lambda x: x["s"].isNotNull() & ~F.coalesce((x["s"] == x["a"]) & (x["s"] == x["b"]), F.lit(False))), lambda x: x["s"])
     return F.array_join(kept, " ")

@@ -46,15 +46,15 @@ def speaker_blocks(segments: DataFrame) -> DataFrame:
     unique = segments.filter("idx is not null").select("stem", "idx", "speaker", "text", "segment_id").withColumn("_k", F.row_number().over(own)).filter("_k = 1")
     runs = same_value_runs(unique, ["stem"], ["idx"], "speaker", "block")
     ordered = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("idx", "text"))))
-    return runs.groupBy("stem", "block").agg(F.min("speaker").alias("speaker"), F.nullif(F.array_join(F.transform(ordered, lambda x: x["text"]), " "), F.lit("")).alias("text"), F.count("*").alias("n"))
+    return runs.groupBy("stem", "block").agg(F.min("speaker").alias("speaker"), F.when(F.size(ordered) > 0, F.array_join(F.transform(ordered, lambda x: x["text"]), " ")).alias("text"), F.count("*").alias("n"))
 
 
 def estimated_tokens(segments: DataFrame) -> DataFrame:
-    """segment_id, pos, word and at_sec, times spread evenly."""
+    """segment_id, pos, word and at_ms, times spread evenly."""
     timed = segments.filter("text is not null and start_sec is not null and end_sec is not null and trim(text) <> ''")
     df = timed.select("segment_id", "start_sec", "end_sec", words_blank(F.col("text")).alias("ws"))
-    at = F.round(F.col("start_sec") + F.col("pos") * (F.col("end_sec") - F.col("start_sec")) / F.col("n"), 3)
-    return df.select("segment_id", "start_sec", "end_sec", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "word")).select("segment_id", F.col("pos").cast("long").alias("pos"), "word", at.alias("at_sec"))
+    at = F.floor((F.col("start_sec") + F.col("pos") * (F.col("end_sec") - F.col("start_sec")) / F.col("n")) * 1000 + 0.5).cast("long")
+    return df.select("segment_id", "start_sec", "end_sec", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "word")).select("segment_id", F.col("pos").cast("long").alias("pos"), "word", at.alias("at_ms"))
 
 
 def llm_parts(segments: DataFrame, size: int) -> DataFrame:

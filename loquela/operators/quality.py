@@ -26,9 +26,13 @@ class Thresholds:
 
 def ngram_loop(words: Column, n: int, times: int) -> Column:
     """True if some run of n words occurs `times` times or more (overlaps count)."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    most = F.aggregate(F.array_distinct(grams), F.lit(0), lambda acc, g: F.greatest(acc, F.size(F.filter(grams, lambda x: x == g))))
-    return F.when(F.size(words) >= n + times - 1, most >= times).otherwise(False)
+    n_words = F.greatest(F.size(words), F.lit(1))
+    grams = words
+    for k in range(2, n + 1):  # joined slices, so that no lambda holds the whole array
+        grams = F.zip_with(grams, F.slice(words, k, n_words), lambda a, b: F.concat(a, F.lit(" "), b))
+    ordered = F.array_sort(F.filter(grams, lambda g: g.isNotNull()))
+    pairs = F.zip_with(ordered, F.slice(ordered, times, n_words), lambda a, b: F.coalesce(a == b, F.lit(False)))
+    return F.exists(pairs, lambda x: x)
 
 
 def reasons(text: Column, seconds: Column, no_speech: Column, probs: Column, t: Thresholds = Thresholds()) -> Column:

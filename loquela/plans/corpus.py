@@ -168,7 +168,7 @@ def subtitles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT segment_id, start_sec, end_sec, list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> '') AS ws FROM segments
 WHERE text IS NOT NULL AND start_sec IS NOT NULL AND end_sec IS NOT NULL AND trim(text) <> '')
-SELECT segment_id, unnest(range(len(ws)))::BIGINT AS pos, unnest(ws) AS word, round(start_sec + unnest(range(len(ws))) * (end_sec - start_sec) / len(ws), 3) AS at_sec FROM t""")
+SELECT segment_id, unnest(range(len(ws)))::BIGINT AS pos, unnest(ws) AS word, floor((start_sec + unnest(range(len(ws))) * (end_sec - start_sec) / len(ws)) * 1000 + 0.5)::BIGINT AS at_ms FROM t""")
 def tokens_with_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens with times spread evenly over their segment (estimated, as no word times are given)."""
     return estimated_tokens(table(spark, sf_dir, "segments"))
@@ -255,11 +255,10 @@ def source_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.sum(empty).alias("empty"), F.countDistinct("text").alias("n_distinct"), F.max(F.length("text")).cast("long").alias("longest"))
 
 
-@query(f"""WITH w AS (SELECT stem, idx, segment_id, word, row_number() OVER (PARTITION BY stem, segment_id) AS r FROM {WORDS}),
-p AS (SELECT stem, unnest(ws) AS word, idx, segment_id, unnest(range(len(ws))) AS pos FROM (SELECT stem, idx, segment_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS ws FROM segments WHERE text IS NOT NULL)),
-n AS (SELECT stem, word, row_number() OVER (PARTITION BY stem ORDER BY idx, segment_id, pos) AS rn FROM p),
-f AS (SELECT a.stem, a.rn, count(DISTINCT b.word) AS t FROM n a JOIN n b ON a.stem = b.stem AND b.rn BETWEEN a.rn - 49 AND a.rn WHERE a.rn >= 50 GROUP BY ALL)
-SELECT c.stem, round(avg(f.t / 50), 4) AS mattr, any_value(c.n_words) AS n_words FROM (SELECT stem, count(*) AS n_words FROM n GROUP BY stem) c LEFT JOIN f ON c.stem = f.stem GROUP BY c.stem""")
+@query("""WITH p AS (SELECT stem, unnest(ws) AS word, idx, segment_id, unnest(range(len(ws))) AS pos FROM
+(SELECT stem, idx, segment_id, regexp_extract_all(lower(text), '\\p{L}+') AS ws FROM segments WHERE text IS NOT NULL)),
+f AS (SELECT stem, row_number() OVER w AS rn, len(list_distinct(list(word) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))) AS t FROM p WINDOW w AS (PARTITION BY stem ORDER BY idx, segment_id, pos))
+SELECT stem, round(avg(CASE WHEN rn >= 50 THEN t / 50 END), 4) AS mattr, count(*) AS n_words FROM f GROUP BY stem""")
 def moving_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moving-average type-token ratio (50 words) per session."""
     pos = table(spark, sf_dir, "segments").filter("text is not null").select("stem", "idx", "segment_id", F.posexplode(T.words_letters(F.col("text"))).alias("pos", "word"))
