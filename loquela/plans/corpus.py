@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loquela.functions import text as T
+from loquela.operators import alignment, publish, sequence
 from loquela.operators import quality as Q
-from loquela.operators import sequence
 from loquela.operators.corpus import (
     bigrams,
     corpus_stats,
@@ -271,3 +271,38 @@ def prosody_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "segments").filter(~F.col("quality").eqNullSafe(F.lit("unreliable")))
     names = {"f0": "f0_mean_hz", "loudness": "intensity_mean_db", "voiced": "voiced_fraction", "rate": "speech_rate_syl_per_sec", "pauses": "pause_ratio"}
     return good.groupBy(F.col("speaker").alias("gid")).agg(F.count("*").alias("n"), *(F.round(F.median(c), 4).alias(k) for k, c in names.items()))
+
+
+@query("""WITH v AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS w FROM documents WHERE text IS NOT NULL) WHERE w = lower(w)),
+p AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\p{L}+|[^\\p{L}]+')) AS part, generate_subscripts(regexp_extract_all(text, '\\p{L}+|[^\\p{L}]+'), 1) AS pos FROM documents)
+SELECT d.doc_id, coalesce(x.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(CASE WHEN regexp_matches(part, '^\\p{Lu}') AND v.w IS NULL THEN upper(left(part, 1)) || '.' ELSE part END, '' ORDER BY pos) AS text
+FROM p LEFT JOIN v ON v.w = lower(part) GROUP BY doc_id) x USING (doc_id)""")
+def anonymised_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capitalised words that never occur in lower case become initials."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return publish.anonymise(docs, "doc_id", "text", publish.lower_vocabulary(docs, "text"))
+
+
+@query("""SELECT doc_id, CASE WHEN source IS NULL THEN 'insert' WHEN lang IS NULL THEN 'delete' ELSE 'update' END AS action FROM documents
+WHERE (source IS NULL AND lang IS NOT NULL) OR (source IS NOT NULL AND lang IS NULL) OR (source IS NOT NULL AND lang IS NOT NULL AND trim(text) <> text)""")
+def published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a change-only sink writes, from a state of all trimmed texts with a source to that of all texts with a language."""
+    docs = table(spark, sf_dir, "documents")
+    previous = docs.filter("source is not null").select("doc_id", F.trim("text").alias("text"))
+    return publish.changes(previous, docs.filter("lang is not null").select("doc_id", "text"), "doc_id", "text")
+
+
+@query("""SELECT d.doc_id, n.w AS name FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM documents WHERE text IS NOT NULL) d
+JOIN (SELECT DISTINCT lower(trim(voice_name)) AS w FROM speakers_db WHERE voice_name IS NOT NULL) n ON d.w = n.w""")
+def names_to_hide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold the name of a voice (the guard before publication)."""
+    return publish.names_in_texts(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "speakers_db"), "voice_name")
+
+
+@query()
+def neighbour_word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word errors of each segment's text against its words without hesitations of one letter (reference against hypothesis)."""
+    df = table(spark, sf_dir, "segments").filter("text is not null").select("segment_id", T.words_alnum(F.col("text")).alias("ref"))
+    hyp = df.withColumn("hyp", F.filter("ref", lambda w: F.length(w) > 1))
+    e = hyp.select("segment_id", alignment.word_errors(F.col("ref"), F.col("hyp")).alias("e"))
+    return e.select("segment_id", "e.*")
