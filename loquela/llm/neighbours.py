@@ -180,46 +180,42 @@ def _router(tree, n_leaves: int, salts: int):
     return run
 
 
-def _top(values: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest of each row with their ids, ties by smaller id; `ids` is one row for all, or one per row."""
-    width = min(values.shape[1], k)
-    if values.shape[1] > 4 * k:  # keep all that reach the k-th value, so that ties are settled by id
-        bound = np.partition(values, values.shape[1] - width, axis=1)[:, values.shape[1] - width]
-        most = int((values >= bound[:, None]).sum(1).max())
-        keep = np.argpartition(-values, min(most, values.shape[1]) - 1, axis=1)[:, :most]
-        values, ids = np.take_along_axis(values, keep, 1), ids[keep] if ids.ndim == 1 else np.take_along_axis(ids, keep, 1)
-    elif ids.ndim == 1:
-        ids = np.broadcast_to(ids, values.shape)
-    order = np.lexsort((ids, -values), axis=1)[:, :width]
-    return np.take_along_axis(values, order, 1), np.take_along_axis(ids, order, 1)
+def _best_of(owner: np.ndarray, other: np.ndarray, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k largest per owner, ties by smaller other."""
+    order = np.lexsort((other, -cos, owner))
+    owner, other, cos = owner[order], other[order], cos[order]
+    first = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
+    begin = np.maximum.accumulate(np.where(first, np.arange(len(owner)), 0)) if len(owner) else np.zeros(0, np.int64)
+    keep = np.arange(len(owner)) - begin < k
+    return owner[keep], other[keep], cos[keep]
 
 
 def _leaf_best(k: int, least: float):
-    """The best k members for each query of a block, and the best k queries for each member."""
+    """The best k members for each query of a block, and the best k queries for each member.
+
+    Only values of at least `least` are looked at, chunk by chunk; the members' best are kept up from chunk to chunk.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         role, uid = table.column("role").to_numpy(), table.column("uid").to_numpy()
         x = _unit(table.column("vec"))
         members, queries = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def emit(owner: np.ndarray, values: np.ndarray, ids: np.ndarray) -> None:
-            r, c = np.nonzero(values >= least)
-            out.append((owner[r], ids[r, c], values[r, c]))
-
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        out, held = [none], none
         if len(members) and len(queries):
-            m, own = x[members].T, uid[members]
-            best_v, best_i = np.full((len(members), 1), -2.0), np.zeros((len(members), 1), np.int64)
-            for start in range(0, len(queries), 1024):
-                q = queries[start : start + 1024]
+            m, own = np.ascontiguousarray(x[members].T), uid[members]
+            step = max(64, min(1024, 4_000_000 // len(members)))
+            for start in range(0, len(queries), step):
+                q = queries[start : start + step]
                 s = x[q] @ m
-                s[uid[q][:, None] == own[None, :]] = -2
-                emit(uid[q], *_top(s, own, k))
-                v, i = _top(np.ascontiguousarray(s.T), uid[q], k)
-                best_v, best_i = _top(np.hstack([best_v, v]), np.hstack([best_i, i]), k)
-            emit(own, best_v, best_i)
-        cat = lambda n, dtype: np.concatenate([o[n] for o in out]) if out else np.zeros(0, dtype)
-        return pa.table({"uid": cat(0, np.int64), "other": cat(1, np.int64), "cos": cat(2, np.float64)})
+                r, c = np.nonzero(s >= least)
+                a, b, v = uid[q][r], own[c], s[r, c]
+                apart = a != b
+                a, b, v = a[apart], b[apart], v[apart]
+                out.append(_best_of(a, b, v, k))
+                held = _best_of(np.r_[held[0], b], np.r_[held[1], a], np.r_[held[2], v], k)
+        out.append(held)
+        return pa.table(dict(zip(("uid", "other", "cos"), (np.concatenate([o[i] for o in out]) for i in range(3)))))
 
     return run
 
