@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,24 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf: str) -> S
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per context, so that workers need no path of their own to it."""
+    context = spark.sparkContext
+    if getattr(context, "_loquela_shipped", False):
+        return
+    root = Path(__file__).parent
+    archive = Path(context._temp_dir, "loquela_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"loquela/{file.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._loquela_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a folder of its own only where none is set (tests)."""
     jsc = spark.sparkContext._jsc.sc()
