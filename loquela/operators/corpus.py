@@ -73,3 +73,23 @@ def llm_parts(segments: DataFrame, size: int) -> DataFrame:
 
     folded = rows.select("stem", F.explode(F.aggregate("rows", start, step)["out"]).alias("x"))
     return folded.groupBy("stem", F.col("x.part").alias("part")).agg(F.min("x.idx").alias("first_idx"), F.max("x.idx").alias("last_idx"), F.sum("x.w").alias("words"))
+
+
+def pack_by_time(segments: DataFrame, limit: float) -> DataFrame:
+    """stem, chunk, first_start, last_end, segments: greedy chunks of at most `limit` seconds from first start to last end.
+
+    The fold runs over the ordered intervals of one session (bounded by a recording's length) in a JVM aggregate.
+    """
+    timed = segments.filter("start_sec is not null and end_sec >= start_sec")
+    rows = timed.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("start_sec", "end_sec"))).alias("rows"))
+    empty = F.expr("cast(array() as array<struct<chunk:int,a:double,b:double>>)")
+    start = F.struct(F.lit(-1).alias("chunk"), F.lit(0.0).alias("begin"), empty.alias("out"))
+
+    def step(s, r):
+        fresh = (s["chunk"] < 0) | (r["end_sec"] - s["begin"] > limit)
+        chunk = F.when(fresh, s["chunk"] + 1).otherwise(s["chunk"])
+        begin = F.when(fresh, r["start_sec"]).otherwise(s["begin"])
+        return F.struct(chunk.alias("chunk"), begin.alias("begin"), F.array_append(s["out"], F.struct(chunk.alias("chunk"), r["start_sec"].alias("a"), r["end_sec"].alias("b"))).alias("out"))
+
+    folded = rows.select("stem", F.explode(F.aggregate("rows", start, step)["out"]).alias("x"))
+    return folded.groupBy("stem", F.col("x.chunk").alias("chunk")).agg(F.min("x.a").alias("first_start"), F.max("x.b").alias("last_end"), F.count("*").alias("segments"))

@@ -137,3 +137,19 @@ def test_parts_and_blocks(spark):
     assert [(r["speaker"], r["text"]) for r in corpus.speaker_blocks(df).orderBy("block").collect()] == [("A", "uno due tre"), ("B", None), (None, "")]
     assert [(r["part"], r["words"]) for r in corpus.llm_parts(df, 2).orderBy("part").collect()] == [(0, 2), (1, 1)]
     assert corpus.bigrams(df.limit(0)).count() == 0
+
+
+def test_packing(spark):
+    rows = [("s", 0.0, 10.0), ("s", 10.0, 29.0), ("s", 29.0, 30.0), ("s", 31.0, 99.0), ("s", 100.0, 101.0), ("s", None, 5.0), ("t", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "stem string, start_sec double, end_sec double")
+    got = sorted((r["stem"], r["chunk"], r["first_start"], r["last_end"]) for r in corpus.pack_by_time(df, 29.0).collect())
+    assert got == [("s", 0, 0.0, 29.0), ("s", 1, 29.0, 30.0), ("s", 2, 31.0, 99.0), ("s", 3, 100.0, 101.0), ("t", 0, 1.0, 1.0)]
+    assert corpus.pack_by_time(df.limit(0), 29.0).count() == 0
+
+
+def test_latest_wins(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", None, "z")], "k string, t int, v string")
+    assert {(r["k"], r["v"]) for r in publish.latest_wins(df, ["k"], [F.col("t").desc_nulls_last()]).collect()} == {("a", "y"), ("b", "z")}
+    names = spark.createDataFrame([("Mario",), (None,), ("mario",)], "name string")
+    texts = spark.createDataFrame([(1, "Ieri Mario"), (2, None), (3, "amarioso")], "k int, t string")
+    assert [tuple(r) for r in publish.names_in_texts(texts, "k", "t", names, "name").collect()] == [(1, "mario")]
