@@ -34,10 +34,10 @@ def corpus_stats(sessions: DataFrame, segments: DataFrame, voices: DataFrame) ->
         words,
         voices.agg(F.count("*").alias("n_voices")),
     ]
-    out = parts[0]
+    rows = parts[0]
     for part in parts[1:]:
-        out = out.join(part)  # one row each
-    return out
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*(F.max(c).alias(c) for c in rows.columns))
 
 
 def speaker_blocks(segments: DataFrame) -> DataFrame:

@@ -90,9 +90,9 @@ def clear_main_speaker(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which session files would go: without segments, older than a week before the newest, or kept."""
     s = table(spark, sf_dir, "sessions").select("row_id", "n_segments", "ingested_at")
-    newest = F.broadcast(s.agg(F.max("ingested_at").alias("newest")))  # one row
-    state = F.when(F.col("n_segments").isNull() | (F.col("n_segments") == 0), "orphan").when(F.col("ingested_at") < F.col("newest") - F.expr("INTERVAL 7 DAYS"), "expired").otherwise("keep")
-    return s.join(newest).select("row_id", state.alias("state"))
+    newest = table(spark, sf_dir, "sessions").agg(F.max("ingested_at").alias("newest")).scalar()
+    state = F.when(F.col("n_segments").isNull() | (F.col("n_segments") == 0), "orphan").when(F.col("ingested_at") < newest - F.expr("INTERVAL 7 DAYS"), "expired").otherwise("keep")
+    return s.select("row_id", state.alias("state"))
 
 
 @query("""SELECT day, '| ' || day || ' | ' || n || ' | ' || stems || ' | ' || words || ' |' AS line FROM (SELECT left(processed_at, 10) AS day, count(*) AS n, count(DISTINCT stem) AS stems, sum(coalesce(n_words, 0))::BIGINT AS words FROM sessions WHERE processed_at IS NOT NULL GROUP BY ALL)""")

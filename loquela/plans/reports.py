@@ -170,8 +170,8 @@ def nearest_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The identity whose centroid is most similar to each sample; the identities (one row each) travel as one array."""
     e = table(spark, sf_dir, "embeddings")
     c = identity.weighted_centroids(e, "label", "embedding", F.lit(1.0))
-    known = c.agg(F.collect_list(F.struct("label", "centroid")).alias("known"))
-    scored = e.join(F.broadcast(known)).select("vec_id", F.array_max(F.transform("known", lambda k: F.struct(identity.cosine(F.col("embedding"), k["centroid"]).alias("c"), k["label"].alias("label")))).alias("b"))
+    known = c.agg(F.collect_list(F.struct("label", "centroid")).alias("known")).scalar()
+    scored = e.select("vec_id", "embedding", known.alias("known")).select("vec_id", F.array_max(F.transform("known", lambda k: F.struct(identity.cosine(F.col("embedding"), k["centroid"]).alias("c"), k["label"].alias("label")))).alias("b"))
     return scored.select("vec_id", F.col("b.label").cast("long").alias("best"))
 
 
