@@ -167,7 +167,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
 def shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     """What each target source reached in the mixture, from its rows."""
     used = mixture.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), F.count("*").alias("used_blocks"), (F.max("use_no") + 1).alias("most_uses"))
-    total = used.agg(F.sum("used_tokens").alias("all_tokens"))
-    rows = targets.join(used, "source", "left").fillna(0, ["used_tokens", "used_blocks", "most_uses"]).crossJoin(F.broadcast(total))  # one row
-    share = F.coalesce(F.col("used_tokens") / F.col("all_tokens"), F.lit(0.0))
+    rows = targets.join(used, "source", "left").fillna(0, ["used_tokens", "used_blocks", "most_uses"])
+    rows = rows.withColumn("all_tokens", F.sum("used_tokens").over(Window.partitionBy(F.lit(1))))  # one row per target
+    share = F.coalesce(F.try_divide("used_tokens", "all_tokens"), F.lit(0.0))
     return rows.select("source", "target_share", "max_repeat", "used_tokens", "used_blocks", "most_uses", share.alias("actual_share"), (share >= F.col("target_share") - 0.005).alias("reached"))
