@@ -1,17 +1,16 @@
 """Problem 5: implausible spikes, stuck values and impossible readings.
 
-Features come first: the level against the source's robust centre, the difference to the neighbours, the deviation from
-what is usual at that time (of the day for readings, of the session for segments) and the length of the run of equal
-values. An isolation forest per source is fitted on bounded subsamples (as the method has it) and scores every reading;
-those above the source's usual score are held against an exact bound on level or difference. Explicit rules add
-physically impossible values and stuck runs.
+Features come first: for segments the level against the voice's robust centre, for readings how far a value leaves its
+neighbours, for both the length of the run of equal values. Exact bounds on level or difference decide, alone: an
+isolation forest scores values low that are numerous in their source, so its score (`isolated`) vetoes none of them.
+Explicit rules add physically impossible values and stuck runs.
 
 Scale: segments are ordered within their session. Pulse readings are range-partitioned by wearer and time, so a wearer
 with a third of all rows spreads over many tasks; each task gets the last and first rows of its neighbours (`CONTEXT`
-rows a partition, broadcast) to see across the cut. Forests run on (source, slice) groups of bounded size.
+rows a partition, broadcast) to see across the cut. Verdicts run on (source, slice) groups of bounded size.
 
 Defined results: null values, unknown voices and null sources have no cases; values that are not finite are impossible;
-repeated rows count once in a run, and each of them is a case; rows without a time are judged by level and physical
+repeated rows count once in a run and in the statistics of their voice, and each of them is a case; rows without a time are judged by level and physical
 limits only; empty input gives no rows.
 """
 
@@ -34,6 +33,8 @@ LIMITS = {"f0_mean_hz": (20.0, 1000.0), "jitter_local": (0.0, 1.0), "shimmer_loc
 FIELDS = ["f0_mean_hz", "jitter_local", "shimmer_local"]
 #: Robust units of log level beyond which a segment's value is far outside its voice's behaviour.
 FAR_LEVEL = 5.0
+#: Ratio of the quartiles' distances to the median from which the farther quartile lies among wrong values.
+LOPSIDED = 5.0
 #: Beats by which a reading must leave both its sides (or one steady side, where a gap hides the other).
 FAR_JUMP, FAR_JUMP_ONE_SIDED = 20.0, 30.0
 STUCK_SEGMENTS, STUCK_READINGS = 5, 15
@@ -161,27 +162,31 @@ def _session_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         idx = table.column("idx").cast(pa.int64()).fill_null(-1).to_numpy()
         timed = np.isfinite(start)
         group = np.cumsum(np.r_[True, (stem[1:] != stem[:-1]) | (voice[1:] != voice[:-1])])
-        repeat = np.r_[False, (group[1:] == group[:-1]) & (idx[1:] == idx[:-1]) & (start[1:] == start[:-1])] & timed
+        alike = np.r_[False, (group[1:] == group[:-1]) & (idx[1:] == idx[:-1]) & ((start[1:] == start[:-1]) | ~(timed[1:] | timed[:-1]))]
+        repeat = alike & timed
         owner = np.maximum.accumulate(np.where(repeat, 0, np.arange(len(repeat))))
-        out = {"voice": table.column("voice"), "segment_id": table.column("segment_id")}
+        copy = alike.copy()
+        for name in FIELDS:
+            value, present = table.column(name).to_numpy(), table.column(name).is_valid().to_numpy()
+            copy[1:] &= (value[1:] == value[:-1]) | ~(present[1:] | present[:-1])
+        out = {"voice": table.column("voice"), "segment_id": table.column("segment_id"), "copy": pa.array(copy)}
         for name in FIELDS:
             column = table.column(name)
             value = column.to_numpy()
             present = column.is_valid().to_numpy()
             use = np.flatnonzero(present & timed & ~repeat)
-            run, diff = np.ones(len(value), dtype=np.int64), np.zeros(len(value))
+            run = np.ones(len(value), dtype=np.int64)
             run[use] = run_lengths(value[use], group[use])
-            with np.errstate(invalid="ignore", divide="ignore"):
-                log = np.log(np.where(value > 0, value, np.nan))
-            step = np.abs(np.diff(log[use], prepend=np.nan))
-            same = np.r_[False, group[use][1:] == group[use][:-1]] if len(use) else np.zeros(0, bool)
-            diff[use] = np.where(same & np.isfinite(step), step, 0)
-            run, diff = run[owner], diff[owner]
-            out |= {name: column, f"run_{name}": pa.array(run.astype(np.int32)), f"diff_{name}": pa.array(diff)}
+            out |= {name: column, f"run_{name}": pa.array(run[owner].astype(np.int32))}
         yield from pa.table(out).combine_chunks().to_batches()
 
 
-_SESSION_SCHEMA = "voice string, segment_id long, " + ", ".join(f"{f} double, run_{f} int, diff_{f} double" for f in FIELDS)
+_SESSION_SCHEMA = "voice string, segment_id long, copy boolean, " + ", ".join(f"{f} double, run_{f} int" for f in FIELDS)
+
+
+def own_scale(below: float, above: float) -> float:
+    """Robust scale from the distances of the quartiles to the median; of very unequal ones the larger holds wrong values."""
+    return 2 * min(below, above) / 1.349 if max(below, above) > LOPSIDED * min(below, above) else (below + above) / 1.349
 
 
 def _judge_voice(pooled: dict[str, tuple[float, float, float]]):
@@ -201,18 +206,14 @@ def _judge_voice(pooled: dict[str, tuple[float, float, float]]):
             bad = ~np.isfinite(value) | (value < low) | (value > high) | (value <= 0)
             mid, spread, usual = pooled[name]
             if n and n >= 5 and q1 > 0:
-                centre, own = np.log(q2), (np.log(q3) - np.log(q1)) / 1.349
+                centre, own = np.log(q2), own_scale(np.log(q2 / q1), np.log(q3 / q2))
                 scale = max(own, 0.7 * usual) if n >= 20 else max(own, usual)
             else:
                 centre, scale = mid, max(spread, usual)
             log = np.log(np.where(bad, np.exp(centre), np.maximum(value, 1e-12)))
             level = (log - centre) / scale
             run_ = table.column(f"run_{name}").to_numpy()[have]
-            diff = table.column(f"diff_{name}").to_numpy()[have] / scale
-            season = level - np.median(level[~bad]) if (~bad).any() else level
-            x = np.column_stack([np.abs(level), np.minimum(diff, 50), np.abs(season), np.log1p(run_)])
-            _, odd = isolated(x)
-            hit = bad | (odd & (np.abs(level) >= FAR_LEVEL)) | (run_ >= STUCK_SEGMENTS)
+            hit = bad | (np.abs(level) >= FAR_LEVEL) | (run_ >= STUCK_SEGMENTS)
             rows.append(ids[have[hit]])
             fields += [name] * int(hit.sum())
         return pa.table({"row_id": np.concatenate(rows) if rows else np.zeros(0, np.int64), "field": pa.array(fields, pa.string())})
@@ -229,7 +230,7 @@ def segment_cases(segments: DataFrame, speaker_map: DataFrame) -> DataFrame:
     aggs = [F.count("*").alias("rows")]
     for name in FIELDS:
         low, high = LIMITS[name]
-        fine = F.when((F.col(name) > max(low, 0.0)) & (F.col(name) <= high), F.col(name))
+        fine = F.when(~F.col("copy") & (F.col(name) > max(low, 0.0)) & (F.col(name) <= high), F.col(name))
         q = F.percentile_approx(fine, [0.25, 0.5, 0.75], 1000)
         aggs += [q.alias(f"q_{name}"), F.count(fine).alias(f"n_{name}")]
     stats = features.groupBy("voice").agg(*aggs)
@@ -297,21 +298,11 @@ def _reading_features(edges, context: int):
 
 
 def _judge_wearer(table: pa.Table) -> pa.Table:
-    ids, at, value = (table.column(c).to_numpy() for c in ("id", "at", "value"))
+    ids, value = (table.column(c).to_numpy() for c in ("id", "value"))
     both, one, run = (table.column(c).to_numpy() for c in ("both", "one", "run"))
     low, high = LIMITS["heart_rate"]
     bad = (value < low) | (value > high)
-    fine = value[~bad] if (~bad).any() else value
-    q1, centre, q3 = np.percentile(fine, [25, 50, 75])
-    scale = max((q3 - q1) / 1.349, 2.0)
-    hour = (at // 3_600_000_000) % 24
-    usual = np.full(24, centre)
-    for h in np.unique(hour[~bad]):
-        usual[h] = np.median(value[~bad & (hour == h)])
-    jump = np.maximum(both, one)
-    x = np.column_stack([np.abs(value - centre) / scale, np.minimum(jump, 60), np.abs(value - usual[hour]) / scale, np.log1p(run)])
-    _, odd = isolated(x)
-    far = odd & ((both >= FAR_JUMP) | (one >= FAR_JUMP_ONE_SIDED))
+    far = (both >= FAR_JUMP) | (one >= FAR_JUMP_ONE_SIDED)
     hit = bad | far | (run >= STUCK_READINGS)
     return pa.table({"row_id": ids[hit]})
 

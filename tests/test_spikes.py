@@ -69,3 +69,29 @@ def test_runs():
     v, g = np.array([1, 1, 2, 2, 2, 2]), np.array([0, 0, 0, 0, 1, 1])
     assert spikes.run_lengths(v, g).tolist() == [2, 2, 2, 2, 2, 2]
     assert spikes.run_lengths(np.zeros(0), np.zeros(0)).tolist() == []
+
+
+SEGMENT = "segment_id long, stem string, idx int, speaker string, text string, start_sec double, f0_mean_hz double, jitter_local double, shimmer_local double"
+
+
+@pytest.mark.parametrize("copies", [5, 50, 200])
+def test_copies_of_a_wrong_segment(spark, copies):
+    rng = np.random.default_rng(4)
+    rows = [(i, f"s{i // 50}", i % 50, "GLOBAL_00000007", "ciao", float(i % 50), float(120 * np.exp(0.1 * rng.standard_normal())), None, None) for i in range(100)]
+    rows += [(1000 + i, "s9", 1, "GLOBAL_00000007", "ciao", 1.0, 400.0, None, None) for i in range(copies)]
+    got = {r["row_id"] for r in spikes.segment_cases(spark.createDataFrame(rows, SEGMENT), spark.createDataFrame([], "stem string, local_label string, global_id string")).collect()}
+    assert got == {1000 + i for i in range(copies)}
+
+
+def test_equal_wrong_values_of_small_voices(spark):
+    rng = np.random.default_rng(5)
+    rows = [(100 * v + i, f"s{v}", i, f"GLOBAL_{v:08d}", "ciao", float(i), 400.0 if v < 20 and i in (2, 5, 8) else float(120 * np.exp(0.1 * rng.standard_normal())), None, None) for v in range(40) for i in range(10 if v < 20 else 40)]
+    got = {r["row_id"] for r in spikes.segment_cases(spark.createDataFrame(rows, SEGMENT), spark.createDataFrame([], "stem string, local_label string, global_id string")).collect()}
+    want = {100 * v + i for v in range(20) for i in (2, 5, 8)}
+    assert len(got & want) >= 0.9 * len(want) and not got - want
+
+
+def test_numerous_wrong_readings(spark):
+    rows = [(i, 3, f"2025-05-{1 + i // 1440:02d}", f"{i % 1440 // 60:02d}:{i % 60:02d}", 140 if i % 8 == 2 else 70 + i % 3, 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
+    assert {r["row_id"] for r in spikes.reading_cases(df).collect()} == {i for i in range(1000) if i % 8 == 2}
