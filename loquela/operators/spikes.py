@@ -6,12 +6,13 @@ isolation forest scores values low that are numerous in their source, so its sco
 Explicit rules add physically impossible values and stuck runs.
 
 Scale: segments are ordered within their session. Pulse readings are range-partitioned by wearer and time, so a wearer
-with a third of all rows spreads over many tasks; each task gets the last and first rows of its neighbours (`CONTEXT`
-rows a partition, broadcast) to see across the cut. Verdicts run on (source, slice) groups of bounded size.
+with a third of all rows spreads over many tasks; repeated rows are folded before, and each task gets the last and first
+readings of its neighbours (`CONTEXT` a partition, broadcast) to see across the cut. The verdict on a distinct reading is
+joined back to all its rows. Segments are judged in (voice, slice) groups of bounded size.
 
 Defined results: null values, unknown voices and null sources have no cases; values that are not finite are impossible;
-repeated rows count once in a run and in the statistics of their voice, and each of them is a case; rows without a time are judged by level and physical
-limits only; empty input gives no rows.
+repeated rows count once in a run and in the statistics of their voice, and each of them is a case; rows without a time
+are judged by level and physical limits only; empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -38,9 +39,9 @@ LOPSIDED = 5.0
 #: Beats by which a reading must leave both its sides (or one steady side, where a gap hides the other).
 FAR_JUMP, FAR_JUMP_ONE_SIDED = 20.0, 30.0
 STUCK_SEGMENTS, STUCK_READINGS = 5, 15
-#: Minutes between readings that still count as neighbours; longest burst of wrong readings; rows seen across a cut.
+#: Minutes between readings that still count as neighbours; longest burst of wrong readings; distinct readings seen across a cut.
 NEAR_MIN, BURST, CONTEXT = 40.0, 3, 128
-GROUP_ROWS, SLICE_US = 50_000, 180 * 86_400_000_000
+GROUP_ROWS = 50_000
 
 
 class IsolationForest:
@@ -268,7 +269,7 @@ def _edges(context: int):
 
 
 def _reading_features(edges, context: int):
-    """at, value, amplitude and run of every row of a sorted partition, with the neighbours' edge rows around it."""
+    """Amplitude and run of every distinct reading of a sorted partition, with the neighbours' edge rows around it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -281,32 +282,19 @@ def _reading_features(edges, context: int):
         after = rows[part > me][:context]
         own = np.column_stack([table.column(c).to_numpy() for c in ("wearer", "at", "value")]).astype(np.int64)
         every = np.concatenate([before, own, after])
-        wearer, at, value = every.T
-        first = np.r_[True, (every[1:] != every[:-1]).any(1)]  # repeated rows count once
-        owner = np.cumsum(first) - 1
-        w, t, v = wearer[first], at[first], value[first]
+        w, t, v = every.T
         low, high = LIMITS["heart_rate"]
         length = run_lengths(v, w)
         fine = np.flatnonzero((v >= low) & (v <= high))
         both, one = np.zeros(len(v)), np.zeros(len(v))
         both[fine], one[fine] = burst_amplitude(t[fine] / 60e6, v[fine].astype(float), w[fine])
-        mine = owner[len(before) : len(before) + len(own)]
-        out = {"wearer": own[:, 0], "slice": own[:, 1] // SLICE_US, "at": own[:, 1], "id": table.column("id").to_numpy(), "value": own[:, 2], "both": both[mine], "one": one[mine], "run": length[mine].astype(np.int32)}
+        mine = slice(len(before), len(before) + len(own))
+        out = {"wearer": own[:, 0], "at": own[:, 1], "value": own[:, 2], "both": both[mine], "one": one[mine], "run": length[mine].astype(np.int32)}
         yield from pa.table(out).to_batches()
 
     return run
 
 
-def _judge_wearer(table: pa.Table) -> pa.Table:
-    ids, value = (table.column(c).to_numpy() for c in ("id", "value"))
-    both, one, run = (table.column(c).to_numpy() for c in ("both", "one", "run"))
-    low, high = LIMITS["heart_rate"]
-    bad = (value < low) | (value > high)
-    far = (both >= FAR_JUMP) | (one >= FAR_JUMP_ONE_SIDED)
-    hit = bad | far | (run >= STUCK_READINGS)
-    return pa.table({"row_id": ids[hit]})
-
-
 def reading_cases(readings: DataFrame) -> DataFrame:
     """row_id, field of the wrong pulse readings, judged per wearer."""
     spark = readings.sparkSession
@@ -315,12 +303,15 @@ def reading_cases(readings: DataFrame) -> DataFrame:
         F.col("wearer_id").cast("long").alias("wearer"), wall.alias("at"), F.col("heart_rate").cast("long").alias("value"), F.col("reading_id").cast("long").alias("id")
     )
     timed = rows.filter("at is not null")
-    ordered = cut(timed.repartitionByRange("wearer", "at", "value", "id").sortWithinPartitions("wearer", "at", "value", "id"))
-    edge = ordered.mapInArrow(_edges(CONTEXT), "wearer long, at long, value long, id long, place long, part int").orderBy("part", "place").toPandas()
+    # Repeated rows are folded before anything looks at neighbours: copies neither fill the edges nor part a run.
+    ordered = cut(timed.select("wearer", "at", "value").distinct().repartitionByRange("wearer", "at", "value").sortWithinPartitions("wearer", "at", "value"))
+    edge = ordered.mapInArrow(_edges(CONTEXT), "wearer long, at long, value long, place long, part int").orderBy("part", "place").toPandas()
     shared = spark.sparkContext.broadcast((edge["part"].to_numpy(), edge["place"].to_numpy(), edge[["wearer", "at", "value"]].to_numpy(np.int64).reshape(-1, 3)))
-    features = ordered.mapInArrow(_reading_features(shared, CONTEXT), "wearer long, slice long, at long, id long, value long, both double, one double, run int")
-    judged = features.groupBy("wearer", "slice").applyInArrow(_judge_wearer, "row_id long")
+    features = ordered.mapInArrow(_reading_features(shared, CONTEXT), "wearer long, at long, value long, both double, one double, run int")
     low, high = LIMITS["heart_rate"]
+    far = (F.col("both") >= FAR_JUMP) | (F.col("one") >= FAR_JUMP_ONE_SIDED)
+    wrong = features.filter((F.col("value") < low) | (F.col("value") > high) | far | (F.col("run") >= STUCK_READINGS)).select("wearer", "at", "value")
+    judged = timed.join(wrong, ["wearer", "at", "value"], "left_semi").select(F.col("id").alias("row_id"))
     untimed = rows.filter(F.col("at").isNull() & ((F.col("value") < low) | (F.col("value") > high))).select(F.col("id").alias("row_id"))
     return judged.unionByName(untimed).withColumn("field", F.lit("heart_rate"))
 

@@ -95,3 +95,19 @@ def test_numerous_wrong_readings(spark):
     rows = [(i, 3, f"2025-05-{1 + i // 1440:02d}", f"{i % 1440 // 60:02d}:{i % 60:02d}", 140 if i % 8 == 2 else 70 + i % 3, 1) for i in range(1000)]
     df = spark.createDataFrame(rows, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
     assert {r["row_id"] for r in spikes.reading_cases(df).collect()} == {i for i in range(1000) if i % 8 == 2}
+
+
+@pytest.mark.parametrize("copies", [1, 3000])
+def test_copies_of_a_reading_beside_a_cut(spark, copies):
+    at = lambda i: ("2025-05-01", f"{i // 60:02d}:{i % 60:02d}")
+    value = {200: 95, **{i: 88 for i in range(300, 318)}}  # a spike of 25 beats, a stuck run
+    rows = [(i, 3, *at(i), value.get(i, 70 + i % 3), 1) for i in range(600)]
+    for k, i in enumerate((200, 309)):
+        rows += [(10_000 * (k + 1) + n, 3, *at(i), value[i], 2) for n in range(copies)]
+    df = spark.createDataFrame(rows, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keeps the cuts of the range partitions
+    try:
+        got = {r["row_id"] for r in spikes.reading_cases(df.repartition(4)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {200} | set(range(300, 318)) | {10_000 * k + n for k in (1, 2) for n in range(copies)}
