@@ -3,7 +3,7 @@
 A hierarchical k-means tree is fitted on the driver from a bounded sample (`SAMPLE` distinct vectors, first by hash) and
 broadcast; its size follows from the sample alone. Every distinct vector is indexed: it lies in the leaf that best-bin-
 first traversal reaches first. As a query it goes on through the priority queue and visits more leaves; how many is
-calibrated on held-out queries of the sample, widening until brute force there is met to `TARGET_RECALL`. Queries and
+calibrated on queries of the sample that are kept out of the fit, widening until brute force there is met to `TARGET_RECALL`. Queries and
 members meet per leaf in one shuffle and serve both directions: blocks of queries are multiplied with the leaf's matrix,
 and only the best k of each query and of each member go on to be merged. Hot leaves: queries are salted into blocks of bounded size, and since the tree splits the sample
 evenly, a crowded region has as many leaves as rows.
@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 
 from loquela.session import cut
 
-SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL, MAX_LEAVES = 16_384, 512, 48, 1024, 0.999, 64
+SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL = 16_384, 512, 48, 1024, 0.999
+#: Leaves looked at first in calibration; doubled until the target is met.
+FIRST_LEAVES = 64
 #: Leaves visited beyond the calibrated number.
 MARGIN = 4
 #: Queries of one block of a leaf.
@@ -104,13 +106,17 @@ class KMeansTree:
         best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
         found = [(q, b) for q in queries for b in best[q] if sims[q, b] >= least]
         needed = sorted({i for pair in found for i in pair})
-        visits = dict(zip(needed, self.visit(x[needed], MAX_LEAVES)))
+        most = min(FIRST_LEAVES, self.leaves)
+        visits = dict(zip(needed, self.visit(x[needed], most)))
         n = 1
-        while n < min(MAX_LEAVES, self.leaves):
+        while n < self.leaves:
             met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in found)
             if met >= target * len(found):
                 break
             n += 1
+            if n > most:
+                most = min(2 * most, self.leaves)
+                visits = dict(zip(needed, self.visit(x[needed], most)))
         return n
 
     def dump(self) -> bytes:
@@ -225,8 +231,9 @@ def near_distinct(groups: DataFrame, k: int, least: float, sample: int = SAMPLE,
     spark = groups.sparkSession
     taken = groups.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(sample).toArrow()
     x = _unit(taken.column("vec")) if taken.num_rows else np.zeros((0, 1))
-    tree = KMeansTree(x.astype(np.float32))
-    n_leaves = leaves or (tree.calibrate(x, k, least) + MARGIN if len(x) else 1)
+    held_out = min(HELD_OUT, len(x) // 4)
+    tree = KMeansTree(x[held_out:].astype(np.float32))
+    n_leaves = leaves or (tree.calibrate(x, k, least, held_out) + MARGIN if len(x) else 1)
     n = groups.count()
     salts = max(1, -(-n * n_leaves // (tree.leaves * BLOCK)))
     shared = spark.sparkContext.broadcast(tree.dump())

@@ -46,3 +46,24 @@ def test_tree():
     assert tree.visit(x[:20], 9) == again.visit(x[:20], 9)
     assert all(len(set(v)) == 9 for v in tree.visit(x[:20], 9))
     assert nb.KMeansTree(np.ones((100, 4), np.float32)).leaves == 1
+
+
+def test_calibration_widens_until_met():
+    x = np.random.default_rng(3).standard_normal((1200, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = nb.KMeansTree(x[200:].astype(np.float32), branching=256, leaf_size=4)
+    n = tree.calibrate(x, 5, -1.0, 200)
+    sims = x[:200] @ x.T
+    sims[np.arange(200), np.arange(200)] = -2
+    visits = tree.visit(x, n)
+    pairs = [(q, b) for q in range(200) for b in np.argsort(-sims[q])[:5]]
+    assert n > 64 and sum(visits[b][0] in visits[q] or visits[q][0] in visits[b] for q, b in pairs) >= nb.TARGET_RECALL * len(pairs)
+
+
+def test_calibration_queries_are_not_fitted(spark, monkeypatch):
+    seen, fit, calibrate = {}, nb.KMeansTree.__init__, nb.KMeansTree.calibrate
+    monkeypatch.setattr(nb.KMeansTree, "__init__", lambda self, x, *a, **k: (seen.update(fit=x), fit(self, x, *a, **k))[1])
+    monkeypatch.setattr(nb.KMeansTree, "calibrate", lambda self, x, k, least, held_out=nb.HELD_OUT, *a: (seen.update(asked=x[:held_out]), calibrate(self, x, k, least, held_out, *a))[1])
+    rows = [(i, np.random.default_rng(i).standard_normal(8).tolist()) for i in range(400)]
+    nb.nearest_vectors(spark.createDataFrame(rows, "voice long, c array<float>"), "voice", "c", 8)
+    assert len(seen["asked"]) and not {tuple(r) for r in seen["asked"].astype(np.float32)} & {tuple(r) for r in seen["fit"]}
