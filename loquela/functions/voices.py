@@ -62,10 +62,14 @@ def session_labels(speaker_map: DataFrame) -> DataFrame:
     return pairs.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("label", "gid"))).alias("_labels"))
 
 
+def place_voice(key: Column, labels: Column) -> Column:
+    """The global id a label in normal form names: itself, or what the session's map says of it; null if neither."""
+    return F.when(key.startswith("GLOBAL_"), key).otherwise(F.try_element_at(labels, key))
+
+
 def voice_of(field: Column, head: Column, labels: Column) -> Column:
     """The global id named by the speaker field, else by the head of the text, else UNKNOWN."""
-    resolve = lambda key: F.when(key.startswith("GLOBAL_"), key).otherwise(F.try_element_at(labels, key))
-    return F.coalesce(resolve(field), resolve(head), F.lit(UNKNOWN))
+    return F.coalesce(place_voice(field, labels), place_voice(head, labels), F.lit(UNKNOWN))
 
 
 def with_voice(segments: DataFrame, speaker_map: DataFrame, keep: list[str]) -> DataFrame:
