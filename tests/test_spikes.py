@@ -59,10 +59,59 @@ def test_readings(spark, context):
 
 def test_forest_isolates():
     rng = np.random.default_rng(2)
-    x = rng.standard_normal((500, 3))
-    x[7] = 30
-    score, odd = spikes.isolated(x)
-    assert score.argmax() == 7 and odd[7]
+    x = np.column_stack([rng.standard_normal((500, 3)), np.zeros(500)])
+    x[7, :3], x[8, :3] = 30, -5.7
+    probes = np.array([[s * spikes.FAR] * 3 + [0.0] for s in (1, -1)])
+    score, odd = spikes.isolated(x, x[:200], probes, spikes.VOICE_FEATURES)
+    assert score.argmax() == 7 and np.flatnonzero(odd).tolist() == [7, 8]
+    assert np.flatnonzero(spikes.isolated(x, x[:0], probes, spikes.VOICE_FEATURES)[1]).tolist() == [7, 8]
+
+
+def test_the_forest_decides(spark):
+    df, smap = spark.createDataFrame(segments(), SEG), spark.createDataFrame([], "stem string, local_label string, global_id string")
+    at = lambda i: ("2025-05-01", f"{i // 60:02d}:{i % 60:02d}")
+    pulse = [(i, 3, *at(i), {200: 120, 400: 35}.get(i, 70 + i % 3), 1) for i in range(600)]
+    beats = spark.createDataFrame(pulse, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
+    for rows, far, some in ((lambda d: spikes.segment_cases(df, smap, *d), {60}, 5), (lambda d: spikes.reading_cases(beats, *d), {200, 400}, 5)):
+        found = lambda *d: {r["row_id"] for r in rows(d).collect()}  # noqa: E731, B023
+        want = found()
+        assert far <= want
+        for verdict in (True, False):
+            got = found(lambda x, *a: (np.zeros(len(x)), np.full(len(x), verdict)))  # noqa: B023
+            assert (len(got) > some * len(want)) if verdict else not got & far, (verdict, len(got), len(want), got & far)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 50])
+def test_partitions_and_repeats_do_not_matter(spark, parts):
+    at = lambda i: ("2025-05-01", f"{i // 60:02d}:{i % 60:02d}")
+    value = {200: 120, 900: 30, **dict.fromkeys(range(300, 316), 88), **dict.fromkeys(range(500, 506), 150)}
+    rows = [(10_000 * k + i, 3, *at(i), value.get(i, 70 + i % 3), k) for i in range(1200) for k in range(10)]
+    df = spark.createDataFrame(rows, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r["row_id"] for r in spikes.reading_cases(df.repartition(parts)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == {10_000 * k + i for i in value for k in range(10)}
+
+
+def test_runs_and_bursts_across_slices(spark):
+    start = 30 * 678  # a day on which a slice begins (days since 1970)
+    when = lambda m: str(np.datetime64("1970-01-01") + np.timedelta64(start * 1440 + m, "m")).split("T")
+    value = {**dict.fromkeys(range(-8, 9), 88), -30: 140, -1440 * 30: 71, 30: 140, 29: 141}
+    minutes = sorted({*range(-120, 121), *range(-1440 * 30 - 3, -1440 * 30 + 3)})
+    rows = [(n, 3, *when(m), value.get(m, 70 + m % 3), 1) for n, m in enumerate(minutes)]
+    df = spark.createDataFrame(rows, "reading_id long, wearer_id long, hr_date string, hr_time string, heart_rate int, export_ms long")
+    got = {minutes[r["row_id"]] for r in spikes.reading_cases(df).collect()}
+    assert got == {*range(-8, 9), -30, 29, 30}
+
+
+def test_bursts():
+    t, v = np.arange(12.0), np.array([70, 71, 140, 70, 71, 141, 139, 138, 142, 140, 71, 70.0])
+    assert (np.abs(spikes.burst_amplitude(t, v, np.full(12, 70.0))) > 60).tolist() == [c > 100 for c in v]
+    slow = 70 + 60 * np.sin(np.arange(60) / 60 * np.pi)
+    assert np.abs(spikes.burst_amplitude(np.arange(60.0), slow, np.full(60, 70.0))).max() < 5
+    assert spikes.burst_amplitude(np.zeros(0), np.zeros(0), np.zeros(0)).tolist() == []
 
 
 def test_runs():
