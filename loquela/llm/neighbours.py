@@ -1,12 +1,16 @@
 """Problem 2: the most similar vectors for every vector.
 
-A hierarchical k-means tree is fitted on the driver from a bounded sample (`SAMPLE` distinct vectors, first by hash) and
-broadcast; its size follows from the sample alone. Every distinct vector is indexed: it lies in the leaf that best-bin-
-first traversal reaches first. As a query it goes on through the priority queue and visits more leaves; how many is
-calibrated on queries of the sample that are kept out of the fit, widening until brute force there is met to `TARGET_RECALL`. Queries and
-members meet per leaf in one shuffle and serve both directions: blocks of queries are multiplied with the leaf's matrix,
-and only the best k of each query and of each member go on to be merged. Hot leaves: queries are salted into blocks of bounded size, and since the tree splits the sample
-evenly, a crowded region has as many leaves as rows.
+A hierarchical k-means tree is fitted on the driver from a bounded sample (a quarter of the distinct vectors, at most
+`SAMPLE`, first by hash) and broadcast. It has a leaf for every `LEAF_ROWS` vectors of the table, as long as the sample has
+`LEAF_SAMPLE` vectors for each, so leaves grow in number with the table, not in size. Every distinct vector is indexed: it lies in
+the leaf that best-bin-first traversal reaches first. As a query it goes on through the priority queue, which opens one
+node at a time and scores only that node's children, and visits more leaves. How many is calibrated on `HELD_OUT` vectors kept out
+of the fit: brute force over the whole table gives their neighbours, and visits widen until `TARGET_RECALL` of these pairs meet.
+
+Queries and members meet per leaf in one shuffle and serve both directions. A vector is sent whole once, to its leaf, and
+as a query in half precision to the leaves it visits; no member is copied for the sake of a query. Blocks of queries are
+multiplied with the leaf's matrix, and only the best k of each query and of each member go on to be merged. A crowded
+region has its share of the sample and so of the leaves.
 
 Exact copies are folded first, so a group of copies of any size is one vector: of its ids the k + 1 smallest settle the
 near copies of all its members, since equal similarities are ordered by id.
@@ -30,13 +34,9 @@ from pyspark.sql import functions as F
 
 from loquela.session import cut
 
-SAMPLE, BRANCHING, LEAF, HELD_OUT, TARGET_RECALL = 16_384, 512, 48, 1024, 0.999
+SAMPLE, LEAF_ROWS, LEAF_SAMPLE, BRANCHING, HELD_OUT, TARGET_RECALL = 65_536, 1024, 12, 64, 512, 0.997
 #: Leaves looked at first in calibration; doubled until the target is met.
-FIRST_LEAVES = 64
-#: Leaves visited beyond the calibrated number.
-MARGIN = 4
-#: Queries of one block of a leaf.
-BLOCK = 8192
+FIRST_LEAVES = 32
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +54,7 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
 class KMeansTree:
     """Hierarchical k-means over unit vectors. Node 0 is the root; `leaf[node]` numbers the leaves, -1 elsewhere."""
 
-    def __init__(self, x: np.ndarray, branching: int = BRANCHING, leaf_size: int = LEAF, seed: int = 11) -> None:
+    def __init__(self, x: np.ndarray, branching: int = BRANCHING, leaf_size: int = LEAF_SAMPLE, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
         self.children: list[list[int]] = [[]]
         centres = [np.zeros(x.shape[1], dtype=np.float32)]
@@ -79,44 +79,46 @@ class KMeansTree:
         self.leaves = len(ends)
 
     def visit(self, x: np.ndarray, n_leaves: int) -> list[list[int]]:
-        """The first `n_leaves` leaves of each row's best-bin-first traversal."""
-        near = (x.astype(np.float32) @ self.centres.T).tolist() if len(x) else []
-        leaf, children = self.leaf.tolist(), self.children
-        out = []
-        for row in near:
-            queue, found = [(0.0, 0)], []
-            while queue and len(found) < n_leaves:
-                node = heapq.heappop(queue)[1]
-                if leaf[node] >= 0:
-                    found.append(leaf[node])
-                else:
-                    for c in children[node]:
-                        heapq.heappush(queue, (-row[c], c))
-            out.append(found)
-        return out
-
-    def calibrate(self, x: np.ndarray, k: int, least: float, held_out: int = HELD_OUT, target: float = TARGET_RECALL) -> int:
-        """Leaves to visit until held-out queries meet their brute-force neighbours in the sample.
-
-        A pair meets if either vector visits the leaf of the other, since a leaf serves both directions.
-        """
-        queries = np.arange(min(held_out, len(x)))
-        sims = x[queries].astype(np.float64) @ x.T.astype(np.float64)
-        sims[queries, queries] = -2
-        best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        found = [(q, b) for q in queries for b in best[q] if sims[q, b] >= least]
-        needed = sorted({i for pair in found for i in pair})
+        """The first `n_leaves` leaves of each row's best-bin-first traversal; only the children of opened nodes are scored."""
+        x, leaf = x.astype(np.float32), self.leaf.tolist()
+        queues, found = [[(0.0, 0)] for _ in x], [[] for _ in x]
+        waiting = range(len(x))
+        while waiting:
+            opened: dict[int, list[int]] = {}
+            for i in waiting:
+                queue, seen = queues[i], found[i]
+                while queue and len(seen) < n_leaves:
+                    node = heapq.heappop(queue)[1]
+                    if leaf[node] < 0:
+                        opened.setdefault(node, []).append(i)
+                        break
+                    seen.append(leaf[node])
+            for node, rows in opened.items():
+                children = self.children[node]
+                near = -(x[rows] @ self.centres[children].T)
+                # No more children of a node are needed than leaves are to be visited.
+                keep = np.argpartition(near, n_leaves, axis=1)[:, :n_leaves] if n_leaves < len(children) else np.broadcast_to(np.arange(len(children)), near.shape)
+                for i, values, places in zip(rows, np.take_along_axis(near, keep, 1).tolist(), keep.tolist()):
+                    queue = queues[i]
+                    for value, place in zip(values, places):
+                        heapq.heappush(queue, (value, children[place]))
+            waiting = [i for rows in opened.values() for i in rows]
+        return found
+
+    def calibrate(self, pairs: list[tuple[int, int]], x: np.ndarray, target: float = TARGET_RECALL) -> int:
+        """Leaves to visit until the pairs (rows of `x`) meet. A pair meets if either vector visits the leaf of the other."""
+        if not pairs:
+            return 1
         most = min(FIRST_LEAVES, self.leaves)
-        visits = dict(zip(needed, self.visit(x[needed], most)))
-        n = 1
+        visits, n = self.visit(x, most), 1
         while n < self.leaves:
-            met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in found)
-            if met >= target * len(found):
+            met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in pairs)
+            if met >= target * len(pairs):
                 break
             n += 1
             if n > most:
                 most = min(2 * most, self.leaves)
-                visits = dict(zip(needed, self.visit(x[needed], most)))
+                visits = self.visit(x, most)
         return n
 
     def dump(self) -> bytes:
@@ -135,11 +137,11 @@ class KMeansTree:
         return tree
 
 
-def _unit(raw: list[bytes] | pa.ChunkedArray) -> np.ndarray:
-    """Unit rows (float64) from raw float32 bytes."""
+def _unit(raw: list[bytes] | pa.ChunkedArray, kind: type = np.float32) -> np.ndarray:
+    """Unit rows (float64) from raw bytes of `kind`."""
     joined = b"".join(raw.to_pylist() if isinstance(raw, (pa.ChunkedArray, pa.Array)) else raw)
     n = len(raw)
-    x = np.frombuffer(joined, dtype=np.float32).reshape(n, -1 if n else 1).astype(np.float64)
+    x = np.frombuffer(joined, dtype=kind).reshape(n, -1 if n else 1).astype(np.float64)
     return x / np.sqrt((x * x).sum(1, keepdims=True)) if n else x
 
 
@@ -164,28 +166,54 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     return sized.mapInArrow(run, "id long, key binary, vec binary")
 
 
-def _router(tree, n_leaves: int, salts: int):
-    """uid, vec -> one row as member of its home leaf for each salt, one as query of each visited leaf."""
+def _router(tree, n_leaves: int):
+    """uid, vec -> one row as member of its home leaf (role 0), one in half precision as query of each visited leaf (role 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = KMeansTree.load(tree.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
                 uid, vec = batch.column(0), batch.column(1)
-                visits = index.visit(_unit(vec), n_leaves)
-                rows, leaf, salt, role = [], [], [], []
-                for i, (u, v) in enumerate(zip(uid.to_pylist(), visits)):
-                    rows += [i] * (salts + len(v))
-                    leaf += [v[0]] * salts + v
-                    salt += [*range(salts), *[u % salts] * len(v)]
-                    role += [0] * salts + [1] * len(v)
-                pick = pa.array(rows)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(salt, pa.int32()), pa.array(role, pa.int32()), uid.take(pick), vec.take(pick)], names=["leaf", "salt", "role", "uid", "vec"])
+                x = _unit(vec)
+                visits = index.visit(x, n_leaves)
+                home = pa.RecordBatch.from_arrays([pa.array([v[0] for v in visits], pa.int32()), pa.array(np.zeros(len(visits), np.int32)), uid, vec], names=_ROUTED)
+                yield home
+                half = pa.array([row.tobytes() for row in x.astype(np.float16)], pa.binary())
+                pick = pa.array(np.repeat(np.arange(len(visits)), [len(v) for v in visits]))
+                leaf = pa.array(np.fromiter((n for v in visits for n in v), np.int32))
+                yield pa.RecordBatch.from_arrays([leaf, pa.array(np.ones(len(pick), np.int32)), uid.take(pick), half.take(pick)], names=_ROUTED)
 
     return run
 
 
+_ROUTED = ["leaf", "role", "uid", "vec"]
+
+
+def exact_nearest(groups: DataFrame, queries: np.ndarray, uids: np.ndarray, k: int, least: float) -> pa.Table:
+    """uid, other, cos and vec: the k nearest of a few queries among all rows, by brute force over each partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            uid, vec = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), dtype=object)
+            s = _unit(batch.column(1)) @ queries.T
+            s[uid[:, None] == uids[None, :]] = -2
+            r, c = np.nonzero(s >= least)
+            owner, other, cos = _best_of(uids[c], uid[r], s[r, c], k)
+            place = {u: i for i, u in enumerate(uid.tolist())}
+            some = pa.table({"uid": owner, "other": other, "cos": cos, "vec": pa.array([vec[place[o]] for o in other.tolist()], pa.binary())})
+            best = some if best is None else pa.concat_tables([best, some])
+        if best is not None:
+            yield from best.combine_chunks().to_batches()
+
+    found = groups.select("uid", "vec").mapInArrow(run, "uid long, other long, cos double, vec binary")
+    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("cos"), "other"))
+    return found.withColumn("_n", rank).filter(f"_n <= {k}").drop("_n").toArrow()
+
+
 def _best_of(owner: np.ndarray, other: np.ndarray, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k largest per owner, ties by smaller other."""
     order = np.lexsort((other, -cos, owner))
@@ -204,16 +232,16 @@ def _leaf_best(k: int, least: float):
 
     def run(table: pa.Table) -> pa.Table:
         role, uid = table.column("role").to_numpy(), table.column("uid").to_numpy()
-        x = _unit(table.column("vec"))
         members, queries = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
         none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         out, held = [none], none
         if len(members) and len(queries):
-            m, own = np.ascontiguousarray(x[members].T), uid[members]
+            vec = table.column("vec").combine_chunks()
+            m, own = np.ascontiguousarray(_unit(vec.take(pa.array(members))).astype(np.float32).T), uid[members]
             step = max(64, min(1024, 4_000_000 // len(members)))
             for start in range(0, len(queries), step):
                 q = queries[start : start + step]
-                s = x[q] @ m
+                s = _unit(vec.take(pa.array(q)), np.float16).astype(np.float32) @ m
                 r, c = np.nonzero(s >= least)
                 a, b, v = uid[q][r], own[c], s[r, c]
                 apart = a != b
@@ -229,21 +257,30 @@ def _leaf_best(k: int, least: float):
 def near_distinct(groups: DataFrame, k: int, least: float, sample: int = SAMPLE, leaves: int | None = None) -> DataFrame:
     """uid, other, cos: the up to k nearest distinct vectors of each, from rows of uid and vec (already cut)."""
     spark = groups.sparkSession
-    taken = groups.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(sample).toArrow()
+    n = groups.count()
+    taken = groups.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(max(1, min(sample, max(n // 4, 4 * HELD_OUT)))).toArrow()
     x = _unit(taken.column("vec")) if taken.num_rows else np.zeros((0, 1))
     held_out = min(HELD_OUT, len(x) // 4)
-    tree = KMeansTree(x[held_out:].astype(np.float32))
-    n_leaves = leaves or (tree.calibrate(x, k, least, held_out) + MARGIN if len(x) else 1)
-    n = groups.count()
-    salts = max(1, -(-n * n_leaves // (tree.leaves * BLOCK)))
+    fit = x[held_out:].astype(np.float32)
+    tree = KMeansTree(fit, leaf_size=max(LEAF_SAMPLE, -(-len(fit) * LEAF_ROWS // max(n, 1))))
+    if leaves is None:
+        leaves = calibrated(tree, groups, x[:held_out], taken.column("uid").to_numpy()[:held_out], k, least) if held_out else tree.leaves
     shared = spark.sparkContext.broadcast(tree.dump())
-    routed = groups.select("uid", "vec").mapInArrow(_router(shared, n_leaves, salts), "leaf int, salt int, role int, uid long, vec binary")
-    best = routed.groupBy("leaf", "salt").applyInArrow(_leaf_best(k, least), "uid long, other long, cos double")
+    routed = groups.select("uid", "vec").mapInArrow(_router(shared, leaves), "leaf int, role int, uid long, vec binary")
+    best = routed.groupBy("leaf").applyInArrow(_leaf_best(k, least), "uid long, other long, cos double")
     best = best.groupBy("uid", "other").agg(F.max("cos").alias("cos"))
     rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("cos"), "other"))
     return best.withColumn("_n", rank).filter(f"_n <= {k}").drop("_n")
 
 
+def calibrated(tree: KMeansTree, groups: DataFrame, queries: np.ndarray, uids: np.ndarray, k: int, least: float) -> int:
+    """Leaves to visit, from the exact neighbours in the whole table of queries that are not in the fit."""
+    exact = exact_nearest(groups, queries, uids, k, least)
+    place = {u: i for i, u in enumerate(uids.tolist())}
+    pairs = list(zip((place[u] for u in exact.column("uid").to_pylist()), range(len(queries), len(queries) + exact.num_rows)))
+    return tree.calibrate(pairs, np.concatenate([queries, _unit(exact.column("vec"))]) if exact.num_rows else queries)
+
+
 def nearest_vectors(df: DataFrame, key: str, vector: str, dim: int, k: int = 5, least: float = 0.70, sample: int = SAMPLE, leaves: int | None = None) -> DataFrame:
     """`id`, `other`, `cos`: the k most similar others of every row, ties by smaller id."""
     vectors = usable_vectors(df, key, vector, dim)

@@ -52,18 +52,48 @@ def test_calibration_widens_until_met():
     x = np.random.default_rng(3).standard_normal((1200, 48))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     tree = nb.KMeansTree(x[200:].astype(np.float32), branching=256, leaf_size=4)
-    n = tree.calibrate(x, 5, -1.0, 200)
     sims = x[:200] @ x.T
     sims[np.arange(200), np.arange(200)] = -2
+    pairs = [(q, int(b)) for q in range(200) for b in np.argsort(-sims[q])[:5]]
+    n = tree.calibrate(pairs, x)
     visits = tree.visit(x, n)
-    pairs = [(q, b) for q in range(200) for b in np.argsort(-sims[q])[:5]]
-    assert n > 64 and sum(visits[b][0] in visits[q] or visits[q][0] in visits[b] for q, b in pairs) >= nb.TARGET_RECALL * len(pairs)
+    assert n > 32 and sum(visits[b][0] in visits[q] or visits[q][0] in visits[b] for q, b in pairs) >= nb.TARGET_RECALL * len(pairs)
+    assert tree.calibrate([], x) == 1
 
 
-def test_calibration_queries_are_not_fitted(spark, monkeypatch):
-    seen, fit, calibrate = {}, nb.KMeansTree.__init__, nb.KMeansTree.calibrate
+def test_calibration_is_against_the_whole_table_and_not_fitted(spark, monkeypatch):
+    seen, fit, calibrated = {}, nb.KMeansTree.__init__, nb.calibrated
     monkeypatch.setattr(nb.KMeansTree, "__init__", lambda self, x, *a, **k: (seen.update(fit=x), fit(self, x, *a, **k))[1])
-    monkeypatch.setattr(nb.KMeansTree, "calibrate", lambda self, x, k, least, held_out=nb.HELD_OUT, *a: (seen.update(asked=x[:held_out]), calibrate(self, x, k, least, held_out, *a))[1])
+    monkeypatch.setattr(nb, "calibrated", lambda tree, groups, queries, *a: (seen.update(asked=queries), calibrated(tree, groups, queries, *a))[1])
     rows = [(i, np.random.default_rng(i).standard_normal(8).tolist()) for i in range(400)]
-    nb.nearest_vectors(spark.createDataFrame(rows, "voice long, c array<float>"), "voice", "c", 8)
+    df = spark.createDataFrame(rows, "voice long, c array<float>")
+    nb.nearest_vectors(df, "voice", "c", 8)
     assert len(seen["asked"]) and not {tuple(r) for r in seen["asked"].astype(np.float32)} & {tuple(r) for r in seen["fit"]}
+    groups = nb.usable_vectors(df, "voice", "c", 8).select(F.col("id").alias("uid"), "vec")
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sims = x[:3] @ x.T
+    sims[np.arange(3), np.arange(3)] = -2
+    got = {}
+    for uid, other in zip(*(nb.exact_nearest(groups.repartition(3), x[:3], np.arange(3), 4, -1.0).column(c).to_pylist() for c in ("uid", "other"))):
+        got.setdefault(uid, set()).add(other)
+    assert got == {q: set(np.argsort(-sims[q])[:4].tolist()) for q in range(3)}
+
+
+def test_leaves_grow_with_the_table_and_only_opened_nodes_are_scored():
+    x = np.random.default_rng(5).standard_normal((8000, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    few, many = (nb.KMeansTree(x[:n], leaf_size=32) for n in (1000, 8000))
+    assert many.leaves > 4 * few.leaves
+    own = [v[0] for v in many.visit(x, 1)]
+    assert np.bincount(own).max() < 400
+    scored = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, key):
+            scored.append(len(key) if isinstance(key, list) else 1)
+            return np.asarray(super().__getitem__(key))
+
+    many.centres = many.centres.view(Watched)
+    many.visit(x[:1], 3)
+    assert sum(scored) < len(many.leaf) / 2
