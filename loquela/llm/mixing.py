@@ -3,11 +3,11 @@
 The token streams of each source are packed into blocks of `block_tokens`; places in a source's stream come from sums per
 (source, chunk of documents) and running sums within a chunk, so no task sees a whole source. The mixture has a quota of
 blocks per source: its share of the total, or all it may give (`max_repeat` times its blocks) where that is less, the
-rest going to the others in proportion. Output shards draw their source counts from a multinomial with these quotas as
-its totals, by halving: a seeded draw splits the counts of a range of shards between its two halves, so any shard finds
-its counts and its first index per source in a number of steps that is the logarithm of the number of shards, with no
-table of shards anywhere. The k-th slot of a source is use k // n of block permutation(k % n), a seeded Feistel
-permutation per use; slots and blocks are joined by that index.
+rest going to the others in proportion. Output shards draw their source counts without replacement, so that these quotas
+are met exactly (a multinomial draw would miss them, and could use a source more often than allowed): a seeded Feistel permutation
+sends every place of the mixture to one of as many tickets, of which each source holds its quota in a row. A shard finds
+its counts by looking at its own places alone, at any size alike, with no table of shards anywhere. The ticket's number within its
+source, k, is use k // n of block permutation(k % n), a seeded permutation per use; slots and blocks are joined by that index.
 
 Since each use runs through all blocks once, no block, and so no part of a document, is used more than `max_repeat`
 times. Defined results: sources without a target, null sources, null and empty texts give no tokens; a source without
@@ -47,31 +47,19 @@ def quotas(shares: np.ndarray, caps: np.ndarray, total: int) -> np.ndarray:
     return out
 
 
-def _halve(counts: np.ndarray, slots: int, seed: tuple[int, ...]) -> np.ndarray:
-    """How many of `counts` go to the first `slots` places: a draw without replacement."""
-    total = int(counts.sum())
-    if total < 1_000_000_000:
-        return np.random.default_rng(seed).multivariate_hypergeometric(counts, slots)
-    exact = counts * (slots / total)  # too many for the generator, and the spread is below one in ten thousand
-    low = np.minimum(np.floor(exact).astype(np.int64), counts)
-    order = np.argsort(-(exact - low), kind="stable")
-    low[order[: slots - int(low.sum())]] += 1
-    return low
+def shard_tickets(quota: np.ndarray, shard: int, shard_slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the places of one shard in order: the source, and the number of the ticket within the source."""
+    total = int(quota.sum())
+    places = np.arange(shard * shard_slots, min((shard + 1) * shard_slots, total), dtype=np.int64)
+    tickets = permute(places, total, seed) if total else places
+    ends = np.cumsum(quota.astype(np.int64))
+    source = np.searchsorted(ends, tickets, side="right")
+    return source, tickets - (ends - quota)[source]
 
 
-def shard_counts(quota: np.ndarray, shard: int, shard_slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts per source of one shard, and of all shards before it."""
-    total = int(quota.sum())
-    lo, hi = 0, -(-total // shard_slots)
-    counts, before = quota.astype(np.int64), np.zeros(len(quota), dtype=np.int64)
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        first = _halve(counts, (mid - lo) * shard_slots, (seed, lo, hi))
-        if shard < mid:
-            counts, hi = first, mid
-        else:
-            counts, before, lo = counts - first, before + first, mid
-    return counts, before
+def shard_counts(quota: np.ndarray, shard: int, shard_slots: int, seed: int) -> np.ndarray:
+    """Slots per source of one shard."""
+    return np.bincount(shard_tickets(quota, shard, shard_slots, seed)[0], minlength=len(quota))
 
 
 def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -94,11 +82,12 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def token_streams(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """source, doc_id, n, start (place of the first token in the source's stream) and ids of every document with tokens."""
+def token_streams(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
+    """source, doc_id, n, start (place of the first token in the source's stream) and, if asked, ids of every document with tokens."""
     wanted = documents.filter("source is not null and text is not null and text <> ''").join(targets.select("source"), "source", "left_semi")
     tokens = encode(wanted, ["source", "doc_id"], path=vocabulary).withColumn("n", F.size("ids").cast("long"))
-    tokens = cut(tokens.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS))))
+    kept = ["ids"] * with_ids
+    tokens = cut(tokens.select("source", "doc_id", "n", *kept).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS))))
     sums = tokens.groupBy("source", "chunk").agg(F.sum("n").alias("s"))
     before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("source", "chunk", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("base"))
@@ -106,7 +95,7 @@ def token_streams(documents: DataFrame, targets: DataFrame, vocabulary: str = VO
     return (
         tokens.withColumn("in_chunk", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(bases, ["source", "chunk"])
-        .select("source", "doc_id", "n", (F.col("base") + F.col("in_chunk")).alias("start"), "ids")
+        .select("source", "doc_id", "n", (F.col("base") + F.col("in_chunk")).alias("start"), *kept)
     )
 
 
@@ -114,14 +103,17 @@ def pack(streams: DataFrame, block_tokens: int = BLOCK_TOKENS, with_ids: bool =
     """source, block, n_tokens and the pieces (doc_id, first and past-last token) of each block, in order."""
     b = F.lit(block_tokens)
     first, last = F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("n") - 1) / b)
-    cols = ["source", "doc_id", "n", "start"] + ["ids"] * with_ids
-    pieces = streams.select(*cols, F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("block"))
-    begin, end = F.greatest(F.lit(0), F.col("block") * b - F.col("start")), F.least(F.col("n"), (F.col("block") + 1) * b - F.col("start"))
-    piece = [(F.col("start") + begin).alias("at"), F.col("doc_id"), begin.alias("from"), end.alias("to")]
-    if with_ids:
-        piece.append(F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids"))
-    grouped = pieces.groupBy("source", "block").agg(F.sum(end - begin).alias("n_tokens"), F.array_sort(F.collect_list(F.struct(*piece))).alias("pieces"))
-    return grouped
+
+    def piece(block):
+        begin, end = F.greatest(F.lit(0), block * b - F.col("start")), F.least(F.col("n"), (block + 1) * b - F.col("start"))
+        fields = [block.alias("block"), (F.col("start") + begin).alias("at"), F.col("doc_id"), begin.alias("from"), end.alias("to")]
+        return F.struct(*fields, *[F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids")] * with_ids)
+
+    # A document's ids are cut into its pieces before they are spread, so that no block gets a copy of all of them.
+    pieces = streams.select("source", F.explode(F.transform(F.sequence(first.cast("long"), last.cast("long")), piece)).alias("p"))
+    fields = ["at", "doc_id", "from", "to"] + ["ids"] * with_ids
+    kept = F.struct(*(F.col(f"p.{f}").alias(f) for f in fields))
+    return pieces.groupBy("source", F.col("p.block").alias("block")).agg(F.sum(F.col("p.to") - F.col("p.from")).alias("n_tokens"), F.array_sort(F.collect_list(kept)).alias("pieces"))
 
 
 def mixture_slots(plan: pd.DataFrame, spark, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
@@ -132,15 +124,12 @@ def mixture_slots(plan: pd.DataFrame, spark, shard_slots: int = SHARD_SLOTS, see
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for shard in batch["id"].tolist():
-                counts, before = shard_counts(quota, shard, shard_slots, seed)
-                s = np.repeat(np.arange(len(quota)), counts)
-                k = np.concatenate([np.arange(a, a + c) for a, c in zip(before, counts)])
+                s, k = shard_tickets(quota, shard, shard_slots, seed)
                 use, block = k // np.maximum(blocks[s], 1), np.zeros(len(k), dtype=np.int64)
                 for i, u in set(zip(s.tolist(), use.tolist())):
                     here = (s == i) & (use == u)
                     block[here] = permute(k[here] % blocks[i], int(blocks[i]), seed * 1_000_003 + i * 1009 + u)
-                order = np.random.default_rng((seed, shard)).permutation(len(k))
-                yield pd.DataFrame({"shard": shard, "slot": shard * shard_slots + np.arange(len(k)), "source": np.array(sources, object)[s][order], "use_no": use[order], "block": block[order]})
+                yield pd.DataFrame({"shard": shard, "slot": shard * shard_slots + np.arange(len(k)), "source": np.array(sources, object)[s], "use_no": use, "block": block})
 
     shards = -(-total // shard_slots)
     parts = max(1, min(shards, 4 * spark.sparkContext.defaultParallelism))
@@ -154,7 +143,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     source (its tokens) goes to the driver, which is as many as `targets` has.
     """
     spark = documents.sparkSession
-    streams = token_streams(documents, targets, vocabulary)
+    streams = token_streams(documents, targets, vocabulary, with_ids)
     sizes = streams.groupBy("source").agg(F.sum("n").alias("tokens"))
     plan = targets.join(sizes, "source", "left").fillna(0, ["tokens"]).orderBy("source").toPandas()
     plan["blocks"] = -(-plan["tokens"] // block_tokens)

@@ -24,10 +24,20 @@ def test_quotas():
 def test_shards_add_up():
     quota = np.array([500, 1300, 7, 0])
     parts = [mixing.shard_counts(quota, s, 100, 3) for s in range(19)]
-    assert np.sum([c for c, _ in parts], axis=0).tolist() == quota.tolist()
-    assert [int(c.sum()) for c, _ in parts] == [100] * 18 + [7]
-    for i, (_, before) in enumerate(parts):
-        assert before.tolist() == np.sum([c for c, _ in parts[:i]], axis=0).astype(int).tolist() if i else not before.any()
+    assert np.sum(parts, axis=0).tolist() == quota.tolist()
+    assert [int(c.sum()) for c in parts] == [100] * 18 + [7]
+    drawn = [set(zip(*(x.tolist() for x in mixing.shard_tickets(quota, s, 100, 3)))) for s in range(19)]
+    assert set().union(*drawn) == {(i, k) for i, q in enumerate(quota) for k in range(q)}  # each use of each ticket once
+
+
+@pytest.mark.parametrize("scale", [1, 10**3, 10**9])
+def test_the_same_law_at_any_size(scale):
+    quota = np.array([300, 600, 100]) * 10 * scale
+    shards = int(quota.sum()) // 1000
+    counts = np.array([mixing.shard_counts(quota, s, 1000, seed) for seed in range(20) for s in np.linspace(0, shards - 1, 3).astype(int)])
+    assert np.abs(counts.mean(0) - [300, 600, 100]).max() < 12
+    spread = np.sqrt(np.array([0.3, 0.6, 0.1]) * np.array([0.7, 0.4, 0.9]) * 1000 * (1 - 1000 / int(quota.sum())))
+    assert (np.abs(counts.std(0) / spread - 1) < 0.45).all()
 
 
 @pytest.mark.skipif(not os.path.exists(byte_bpe.VOCABULARY), reason="no vocabulary here")
