@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,26 +15,32 @@ PROB_THRESHOLD, SIMILARITY = 0.90, 0.6
 
 
 def edit_alignment(ref: list[str], hyp: list[str]) -> list[tuple[int | None, int | None]]:
-    """Levenshtein alignment; tracing back prefers a match or substitution, then a deletion, then an insertion."""
+    """Levenshtein alignment as pairs of places; of equally cheap paths, seen from the end, a match or substitution wins, then a deletion.
+
+    The table is filled by anti-diagonals (each one numpy operation) and keeps only the move of each cell.
+    """
     n, m = len(ref), len(hyp)
-    cost = [list(range(m + 1))] + [[i] + [0] * m for i in range(1, n + 1)]
-    for i in range(1, n + 1):
-        above, row = cost[i - 1], cost[i]
-        for j in range(1, m + 1):
-            row[j] = min(above[j - 1] + (ref[i - 1] != hyp[j - 1]), above[j] + 1, row[j - 1] + 1)
-    out: list[tuple[int | None, int | None]] = []
-    i, j = n, m
-    while i or j:
-        if i and j and cost[i][j] == cost[i - 1][j - 1] + (ref[i - 1] != hyp[j - 1]):
-            i, j = i - 1, j - 1
-            out.append((i, j))
-        elif i and cost[i][j] == cost[i - 1][j] + 1:
-            i -= 1
-            out.append((i, None))
-        else:
-            j -= 1
-            out.append((None, j))
-    return out[::-1]
+    codes = {w: k for k, w in enumerate(dict.fromkeys([*ref, *hyp]))}
+    a, b = (np.array([codes[w] for w in ws], dtype=np.int64) for ws in (ref, hyp))
+    move = np.full((n + 1, m + 1), 2, dtype=np.int8)  # 0 both, 1 reference only, 2 hypothesis only
+    move[1:, 0] = 1
+    older, old = np.zeros(n + 1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)  # by i, on the two diagonals before
+    for d in range(1, n + m + 1):
+        now = np.full(n + 1, d, dtype=np.int64)
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        if len(i):
+            j = d - i
+            costs = np.stack([older[i - 1] + (a[i - 1] != b[j - 1]), old[i - 1] + 1, old[i] + 1])
+            move[i, j] = costs.argmin(0)
+            now[i] = costs.min(0)
+        older, old = old, now
+    pairs: list[tuple[int | None, int | None]] = []
+    at = [n, m]
+    while any(at):
+        step = move[at[0], at[1]]
+        at = [at[0] - (step != 2), at[1] - (step != 1)]
+        pairs.append((at[0] if step != 2 else None, at[1] if step != 1 else None))
+    return pairs[::-1]
 
 
 def error_counts(ref: list[str], hyp: list[str]) -> tuple[int, int, int, int]:
@@ -71,21 +78,20 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def align_probabilities(words: list[str], asr: list[tuple[str, float | None]]) -> list[float | None]:
-    """For each word the least probability of the recognised pieces it is made of; None where they do not fit."""
-    out: list[float | None] = []
-    k = 0
+    """For each word the least known probability of the recognised pieces that spell it, or None.
+
+    A word that the next pieces do not spell leaves the place where it is, so the words after it can still be found there.
+    """
+    spelled = [_plain(piece) for piece, _ in asr]
+    ends = np.cumsum([0] + [len(s) for s in spelled])
+    whole, place, out = "".join(spelled), 0, []
     for word in words:
-        want, got, probs, j = _plain(word), "", [], k
-        while j < len(asr) and len(got) < len(want):
-            got += _plain(asr[j][0])
-            probs.append(asr[j][1])
-            j += 1
-        if want and got == want and all(p is not None for p in probs):
-            out.append(min(probs))
-            k = j
-        else:
-            out.append(None)
-            k = j if got == want else k + 1
+        key = _plain(word)
+        upto = int(np.searchsorted(ends, ends[place] + len(key)))
+        fits = bool(key) and whole.startswith(key, ends[place]) and upto < len(ends) and ends[upto] == ends[place] + len(key)
+        known = [p for _, p in asr[place:upto] if p is not None] if fits else []
+        out.append(min(known, default=None))
+        place = upto if fits else place
     return out
 
 
@@ -107,35 +113,34 @@ def guard(df: DataFrame, raw: str, proposal: str, prob: str, protected: list[str
     return df.withColumn("_alike", alike).withColumn("blocked", reason).drop("_alike")
 
 
-def turn_split(words: list[str], spoken: list[tuple[str, str]], least: int = 2) -> list[tuple[int, int, str]]:
-    """(first, past last, voice) of the turns in a corrected text, from recognised (word, voice) pairs.
+def turn_split(words: list[str], spoken: list[tuple], least: int = 2) -> list[tuple]:
+    """(first, past last, voice, start) of the turns in a corrected text, from recognised (word, voice) or (word, voice, start).
 
-    Voices are carried over by aligned blocks; replaced stretches take them in proportion; runs below `least` words are
-    absorbed by the turn before, or after.
+    Corrected places take voice and time of the recognised places that the matching blocks set beside them; between blocks of
+    equal words the places are spread in proportion, and what has nothing beside it takes the voice before. Then, as
+    long as some run is shorter than `least` words, the first such run joins the run before it; at the head, the one behind.
     """
-    if not spoken or not words:
-        return [(0, len(words), spoken[0][1] if spoken else "UNKNOWN")] if words else []
-    voice: list[str | None] = [None] * len(words)
-    a, b = [_plain(w) for w in words], [_plain(w) for w, _ in spoken]
-    for op, i1, i2, j1, j2 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-        if op in ("equal", "replace"):
-            for i in range(i1, i2):
-                voice[i] = spoken[j1 + (i - i1) * (j2 - j1) // (i2 - i1)][1]
-    last = next((v for v in voice if v), spoken[0][1])
-    for i, v in enumerate(voice):
-        voice[i] = last = v or last
-    runs: list[list] = []
-    for i, v in enumerate(voice):
-        if runs and runs[-1][2] == v:
-            runs[-1][1] = i + 1
-        else:
-            runs.append([i, i + 1, v])
-    merged: list[list] = []
-    for r in runs:
-        if merged and (r[1] - r[0] < least or merged[-1][2] == r[2]):
-            merged[-1][1] = r[1]
-        elif merged and merged[-1][1] - merged[-1][0] < least:
-            merged[-1][1:] = [r[1], r[2]]
-        else:
-            merged.append(r)
-    return [tuple(r) for r in merged]
+    if not words or not spoken:
+        return [(0, len(words), "UNKNOWN", None)] if words else []
+    starts = [s[2] if len(s) > 2 else None for s in spoken]
+    blocks = SequenceMatcher(None, [_plain(w) for w in words], [_plain(s[0]) for s in spoken], autojunk=False).get_matching_blocks()
+    beside = np.full(len(words), -1)
+    i = j = 0
+    for to_i, to_j, size in blocks:
+        gap = to_j - j
+        if gap and to_i > i:
+            beside[i:to_i] = j + np.arange(to_i - i) * gap // (to_i - i)
+        beside[to_i : to_i + size] = np.arange(to_j, to_j + size)
+        i, j = to_i + size, to_j + size
+    filled = np.maximum.accumulate(np.where(beside >= 0, np.arange(len(words)), -1))
+    beside = np.where(filled >= 0, beside[np.maximum(filled, 0)], beside[beside >= 0][0] if (beside >= 0).any() else 0)
+    voices = np.array([str(spoken[k][1]) for k in beside], dtype=object)
+    edges = [0, *(np.flatnonzero(voices[1:] != voices[:-1]) + 1).tolist(), len(words)]
+    while len(edges) > 2:
+        short = next((k for k in range(len(edges) - 1) if edges[k + 1] - edges[k] < least), None)
+        if short is None:
+            break
+        source = voices[edges[short] - 1] if short else voices[edges[1]]
+        voices[edges[short] : edges[short + 1]] = source
+        edges = [0, *(np.flatnonzero(voices[1:] != voices[:-1]) + 1).tolist(), len(words)]
+    return [(p, q, voices[p], starts[beside[p]]) for p, q in zip(edges, edges[1:])]

@@ -52,8 +52,8 @@ def co_occurring_pairs(speaker_map: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("sessions"))
 
 
-def resolve_aliases(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """alias -> final target, by pointer jumping; a chain that runs into a cycle ends after `rounds` doublings."""
+def resolve_aliases(edges: DataFrame, rounds: int = 64) -> DataFrame:
+    """alias -> final target, by pointer jumping: `rounds` doublings follow any chain of fewer than 2 ** rounds steps; one that runs into a cycle ends there."""
     current = edges.select(F.col("alias"), F.col("target"))
     for _ in range(rounds):
         nxt = current.select(F.col("alias").alias("_a"), F.col("target").alias("_t"))
@@ -65,42 +65,63 @@ def resolve_aliases(edges: DataFrame, rounds: int = 20) -> DataFrame:
     return current
 
 
-def merge_weak_clusters(df: DataFrame, weak_seconds: float = 90.0, threshold: float = 0.45, rounds: int = 20) -> DataFrame:
-    """stem, label, target: weak clusters of a session absorbed by the most similar one, weakest first.
+def absorb_weak(labels: list[str], seconds: dict[str, float], vectors: dict[str, np.ndarray | None], weak_seconds: float, threshold: float, sweeps: int | None = None) -> dict[str, str]:
+    """label -> the label that stands for it. Clusters lighter than `weak_seconds` join the most similar one, of equal ones the heavier.
 
-    Input rows: stem, label, seconds, embedding. Sequential by nature; a session has few clusters.
+    A sweep goes through the clusters that were light at its start, lightest first. The label of the heavier of the two
+    stays, but it takes the vector of the one that was chosen; a cluster's weight grows by the raw seconds of the one it takes
+    in. Sweeps go on until one changes nothing (or for `sweeps`).
+    """
+    heir = {k: k for k in labels}
+
+    def last(k: str) -> str:
+        while heir[k] != k:
+            k = heir[k]
+        return k
+
+    def alike(a: str, b: str) -> float:
+        x, y = vectors.get(a), vectors.get(b)
+        size = 0.0 if x is None or y is None else float(np.linalg.norm(x) * np.linalg.norm(y))
+        return float(x @ y) / size if size else -1.0
+
+    done = 0
+    while sweeps is None or done < sweeps:
+        done += 1
+        weight = dict.fromkeys((k for k in labels if heir[k] == k), 0.0)
+        for k in labels:
+            weight[last(k)] += seconds[k]
+        before = len(weight)
+        for light in sorted((k for k in weight if weight[k] < weak_seconds), key=weight.get):
+            if light not in weight:
+                continue
+            near = [(alike(light, k), w, k) for k, w in weight.items() if k != light and not min(w, weight[light]) >= weak_seconds]
+            near = [n for n in near if n[0] >= threshold]
+            if near:
+                _, w, stays = max(near, key=lambda n: n[:2])
+                if weight[light] > w:
+                    light, stays = stays, light
+                    vectors[light], vectors[stays] = vectors.get(stays), vectors.get(light)
+                heir[light] = stays
+                del weight[light]
+                weight[stays] = w + seconds[light]
+        if len(weight) == before:
+            break
+    return {k: last(k) for k in labels}
+
+
+def merge_weak_clusters(df: DataFrame, weak_seconds: float = 90.0, threshold: float = 0.45, sweeps: int | None = None) -> DataFrame:
+    """stem, label, target: weak clusters of a session absorbed by the most similar one.
+
+    Input rows: stem, label, seconds, embedding. Sequential by nature; a session has few clusters. Null seconds count 0,
+    null vectors are like none.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["label"]).to_dict("records")
-        vectors = {r["label"]: np.asarray(r["embedding"], float) for r in rows}
-        seconds = {r["label"]: float(r["seconds"] or 0) for r in rows}
-        target = {r["label"]: r["label"] for r in rows}
-        for _ in range(rounds):
-            alive = [k for k in vectors if target[k] == k]
-            best = None
-            for weak in sorted((k for k in alive if seconds[k] < weak_seconds), key=lambda k: (seconds[k], k)):
-                for other in alive:
-                    if other != weak and seconds[other] >= seconds[weak]:
-                        a, b = vectors[weak], vectors[other]
-                        c = float(a @ b / max(np.linalg.norm(a) * np.linalg.norm(b), 1e-12))
-                        if c >= threshold and (best is None or c > best[0]):
-                            best = (c, weak, other)
-                if best:
-                    break
-            if not best:
-                break
-            _, weak, other = best
-            total = seconds[weak] + seconds[other]
-            vectors[other] = (vectors[weak] * seconds[weak] + vectors[other] * seconds[other]) / max(total, 1e-9)
-            seconds[other] = total
-            target[weak] = other
-        final = []
-        for k in target:
-            t = k
-            while target[t] != t:
-                t = target[t]
-            final.append(t)
-        return pd.DataFrame({"stem": pdf["stem"].iloc[0], "label": list(target), "target": final})
+        rows = pdf.drop_duplicates("label").sort_values("label")
+        labels = rows["label"].tolist()
+        seconds = dict(zip(labels, rows["seconds"].fillna(0.0).astype(float)))
+        vectors = {k: None if v is None else np.asarray(v, float) for k, v in zip(labels, rows["embedding"])}
+        heirs = absorb_weak(labels, seconds, vectors, weak_seconds, threshold, sweeps)
+        return pd.DataFrame({"stem": pdf["stem"].iloc[0], "label": labels, "target": [heirs[k] for k in labels]})
 
     return df.groupBy("stem").applyInPandas(run, "stem string, label string, target string")
