@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loquela.functions.text import words_blank, words_letters
+from loquela.functions.text import index_words, words_blank
 from loquela.operators.sequence import same_value_runs
 
 
 def word_table(segments: DataFrame) -> DataFrame:
     """One row per word occurrence: stem and word (text columns are pruned away)."""
-    return segments.filter("text is not null").select("stem", F.explode(words_letters(F.col("text"))).alias("word"))
+    return segments.filter("text is not null").select("stem", F.explode(index_words(F.col("text"))).alias("word"))
 
 
 def word_counts(words: DataFrame, keys: list[str]) -> DataFrame:
@@ -20,7 +21,7 @@ def word_counts(words: DataFrame, keys: list[str]) -> DataFrame:
 
 def bigrams(segments: DataFrame) -> DataFrame:
     """stem, w1, w2, freq of adjacent words in a session's order; a window by session, no self-join."""
-    placed = segments.filter("text is not null").select("stem", "idx", "segment_id", F.posexplode(words_letters(F.col("text"))).alias("pos", "w1"))
+    placed = segments.filter("text is not null").select("stem", "idx", "segment_id", F.posexplode(index_words(F.col("text"))).alias("pos", "w1"))
     after = F.lead("w1").over(Window.partitionBy("stem").orderBy("idx", "segment_id", "pos"))
     return placed.withColumn("w2", after).filter("w2 is not null").groupBy("stem", "w1", "w2").agg(F.count("*").alias("freq"))
 
@@ -57,39 +58,63 @@ def estimated_tokens(segments: DataFrame) -> DataFrame:
     return df.select("segment_id", "start_sec", "end_sec", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "word")).select("segment_id", F.col("pos").cast("long").alias("pos"), "word", at.alias("at_ms"))
 
 
+def _fold(rows: DataFrame, fold, schema: str) -> DataFrame:
+    """A fold over the rows of each session in order (a session is bounded by a recording's length), Arrow-batched."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ordered = table.sort_by([(c, "ascending") for c in table.column_names if c != "stem"])
+        out = fold([r for r in ordered.to_pylist()])
+        names = [c.split()[0] for c in schema.split(", ")]
+        types = [{"string": pa.string(), "long": pa.int64(), "double": pa.float64()}[c.split()[1]] for c in schema.split(", ")]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+
+    return rows.groupBy("stem").applyInArrow(run, schema)
+
+
 def llm_parts(segments: DataFrame, size: int) -> DataFrame:
-    """stem, part, first_idx, last_idx, words: greedy parts, closed when `size` words are reached.
+    """stem, part, first_idx, last_idx, words: greedy parts; one is closed before a segment that would take it above `size` words.
 
-    The fold runs over the ordered word counts of one session (bounded by a recording's length) in a JVM aggregate.
+    Words are tokens between white space; blank texts are left out; repeated (stem, idx) count once (smallest segment_id).
     """
-    counted = segments.filter("text is not null").groupBy("stem", "idx").agg(F.max(F.size(words_letters(F.col("text")))).alias("w"))
-    rows = counted.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("idx", "w"))).alias("rows"))
-    start = F.struct(F.lit(0).alias("acc"), F.lit(0).alias("part"), F.expr("cast(array() as array<struct<part:int,idx:int,w:int>>)").alias("out"))
+    own = Window.partitionBy("stem", "idx").orderBy("segment_id")
+    spoken = segments.filter("stem is not null and idx is not null").select("stem", "idx", "segment_id", F.size(words_blank(F.coalesce("text", F.lit("")))).cast("long").alias("w"))
+    rows = spoken.withColumn("_k", F.row_number().over(own)).filter("_k = 1 and w > 0").select("stem", F.col("idx").cast("long").alias("idx"), "w")
 
-    def step(s, r):
-        part = F.when(s["acc"] >= size, s["part"] + 1).otherwise(s["part"])
-        acc = F.when(s["acc"] >= size, r["w"]).otherwise(s["acc"] + r["w"])
-        return F.struct(acc.alias("acc"), part.alias("part"), F.array_append(s["out"], F.struct(part.alias("part"), r["idx"].alias("idx"), r["w"].alias("w"))).alias("out"))
+    def fold(found: list[dict]) -> list[tuple]:
+        parts: list[list] = []
+        for r in found:
+            if parts and parts[-1][4] + r["w"] <= size:
+                parts[-1][3:] = [r["idx"], parts[-1][4] + r["w"]]
+            else:
+                parts.append([r["stem"], len(parts), r["idx"], r["idx"], r["w"]])
+        return parts
 
-    folded = rows.select("stem", F.explode(F.aggregate("rows", start, step)["out"]).alias("x"))
-    return folded.groupBy("stem", F.col("x.part").alias("part")).agg(F.min("x.idx").alias("first_idx"), F.max("x.idx").alias("last_idx"), F.sum("x.w").alias("words"))
+    return _fold(rows, fold, "stem string, part long, first_idx long, last_idx long, words long")
 
 
 def pack_by_time(segments: DataFrame, limit: float) -> DataFrame:
     """stem, chunk, first_start, last_end, segments: greedy chunks of at most `limit` seconds from first start to last end.
 
-    The fold runs over the ordered intervals of one session (bounded by a recording's length) in a JVM aggregate.
+    A segment longer than that closes the open chunk and is cut into pieces of `limit` seconds, each a chunk of its own.
     """
-    timed = segments.filter("start_sec is not null and end_sec >= start_sec")
-    rows = timed.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("start_sec", "end_sec"))).alias("rows"))
-    empty = F.expr("cast(array() as array<struct<chunk:int,a:double,b:double>>)")
-    start = F.struct(F.lit(-1).alias("chunk"), F.lit(0.0).alias("begin"), empty.alias("out"))
-
-    def step(s, r):
-        fresh = (s["chunk"] < 0) | (r["end_sec"] - s["begin"] > limit)
-        chunk = F.when(fresh, s["chunk"] + 1).otherwise(s["chunk"])
-        begin = F.when(fresh, r["start_sec"]).otherwise(s["begin"])
-        return F.struct(chunk.alias("chunk"), begin.alias("begin"), F.array_append(s["out"], F.struct(chunk.alias("chunk"), r["start_sec"].alias("a"), r["end_sec"].alias("b"))).alias("out"))
-
-    folded = rows.select("stem", F.explode(F.aggregate("rows", start, step)["out"]).alias("x"))
-    return folded.groupBy("stem", F.col("x.chunk").alias("chunk")).agg(F.min("x.a").alias("first_start"), F.max("x.b").alias("last_end"), F.count("*").alias("segments"))
+    rows = segments.filter("stem is not null and start_sec is not null and end_sec >= start_sec").select("stem", F.col("start_sec").cast("double").alias("a"), F.col("end_sec").cast("double").alias("b"))
+
+    def fold(found: list[dict]) -> list[tuple]:
+        chunks: list[list] = []
+        open_ = False
+        for r in found:
+            stem, a, b = r["stem"], r["a"], r["b"]
+            if b - a > limit:
+                while a < b:
+                    end = min(a + limit, b)
+                    chunks.append([stem, len(chunks), a, end, 1])
+                    a = end
+                open_ = False
+            elif open_ and b - chunks[-1][2] <= limit:
+                chunks[-1][3:] = [b, chunks[-1][4] + 1]
+            else:
+                chunks.append([stem, len(chunks), a, b, 1])
+                open_ = True
+        return chunks
+
+    return _fold(rows, fold, "stem string, chunk long, first_start double, last_end double, segments long")

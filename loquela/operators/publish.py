@@ -17,10 +17,13 @@ def changes(previous: DataFrame, current: DataFrame, key: str, content: str) ->
 
 
 def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
-    """key and name of every text that holds a name to hide, by equal words (an equi-join, not a substring scan)."""
-    words = texts.filter(F.col(text).isNotNull()).select(key, F.explode(F.array_distinct(words_letters(F.col(text)))).alias("w"))
-    hidden = names.filter(F.col(name).isNotNull()).select(F.lower(F.trim(name)).alias("w")).distinct()
-    return words.join(hidden, "w").select(key, F.col("w").alias("name"))
+    """key and name of every text that holds a name to hide as successive words: an equi-join on the name's first word, then the rest."""
+    words = texts.filter(F.col(text).isNotNull()).select(key, words_letters(F.col(text)).alias("_ws"))
+    spread = words.select(key, F.concat(F.lit(" "), F.array_join("_ws", " "), F.lit(" ")).alias("_t"), F.explode(F.array_distinct("_ws")).alias("_w"))
+    hidden = names.filter(F.col(name).isNotNull()).select(F.array_join(words_letters(F.col(name)), " ").alias("name")).filter("name <> ''").distinct()
+    first = hidden.withColumn("_w", F.split_part("name", F.lit(" "), F.lit(1)))
+    held = spread.join(first, "_w").filter(F.contains(F.col("_t"), F.concat(F.lit(" "), F.col("name"), F.lit(" "))))
+    return held.select(key, "name")
 
 
 def lower_vocabulary(texts: DataFrame, text: str) -> DataFrame:

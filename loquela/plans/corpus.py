@@ -23,7 +23,9 @@ from loquela.tables import table
 query = Registry()
 QUERIES, SQL = query.queries, query.sql
 
-WORDS = "(SELECT stem, speaker, idx, segment_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM segments WHERE text IS NOT NULL)"
+#: The words of the index in SQL: tokens between white space without punctuation at their ends.
+INDEX = """list_filter(list_transform(list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> ''), lambda w: lower(trim(trim(trim(w), '.,;:!?()[]{}"''«»…—-')))), lambda w: w <> '')"""
+WORDS = f"(SELECT stem, speaker, idx, segment_id, unnest({INDEX}) AS word FROM segments WHERE text IS NOT NULL)"
 
 
 @query(f"SELECT word, count(*) AS freq FROM {WORDS} GROUP BY word ORDER BY freq DESC, word LIMIT 50")
@@ -38,8 +40,8 @@ def session_word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_counts(word_table(table(spark, sf_dir, "segments")), ["stem"])
 
 
-@query("""
-WITH t AS (SELECT stem, idx, segment_id, regexp_extract_all(lower(text), '\\p{L}+') AS ws FROM segments WHERE text IS NOT NULL),
+@query(f"""
+WITH t AS (SELECT stem, idx, segment_id, {INDEX} AS ws FROM segments WHERE text IS NOT NULL),
 p AS (SELECT stem, idx, segment_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM t),
 n AS (SELECT stem, word AS w1, lead(word) OVER (PARTITION BY stem ORDER BY idx, segment_id, pos) AS w2 FROM p)
 SELECT stem, w1, w2, count(*) AS freq FROM n WHERE w2 IS NOT NULL GROUP BY ALL""")
@@ -130,14 +132,18 @@ def suspect_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.filter("quality = 'unreliable'").select("segment_id", "stem", "before_text", "after_text")
 
 
-@query("""SELECT doc_id, level, reasons FROM (SELECT doc_id, concat_ws(';', CASE WHEN n = 0 THEN 'vuoto' END, CASE WHEN n > 0 AND n < 3 THEN 'pochi_parole:' || n END,
-CASE WHEN loop THEN 'ripetizione' END, CASE WHEN n > 0 AND s > 0 AND (n / s < 0.3 OR n / s > 6.0) THEN 'ritmo' END) AS reasons,
-CASE WHEN n = 0 OR loop OR (n > 0 AND s > 0 AND (n / s < 0.3 OR n / s > 6.0)) THEN 'unreliable' WHEN n < 3 THEN 'low' ELSE 'ok' END AS level
-FROM (SELECT doc_id, len(ws) AS n, coalesce(n_chars, 0) / 15.0 AS s, coalesce(g.most, 0) >= 4 AS loop
-FROM (SELECT doc_id, n_chars, regexp_extract_all(lower(coalesce(text, '')), '\\p{L}+') AS ws FROM documents) d
+_INVENTED = Q.INVENTED.replace("'", "''")
+
+
+@query(f"""SELECT doc_id, level, reasons FROM (SELECT doc_id, concat_ws(';', CASE WHEN n = 0 THEN 'testo_vuoto' END, CASE WHEN n > 0 AND n < 3 THEN 'pochi_parole:' || n END, made,
+CASE WHEN loop THEN 'ripetizione_n3' END, CASE WHEN n > 0 AND s > 0 AND (n / s < 0.3 OR n / s > 6.0) THEN 'ritmo_fuori_scala:' || round(n / s, 1)::VARCHAR || 'wps' END) AS reasons,
+CASE WHEN n = 0 OR loop OR made IS NOT NULL OR (n > 0 AND s > 0 AND (n / s < 0.3 OR n / s > 6.0)) THEN 'unreliable' WHEN n < 3 THEN 'low' ELSE 'ok' END AS level
+FROM (SELECT doc_id, len(ws) AS n, coalesce(n_chars, 0) / 15.0 AS s, coalesce(g.most, 0) >= 4 AS loop,
+CASE WHEN regexp_matches(said, '{Q.PROMPT}') THEN 'prompt_nel_testo' WHEN regexp_matches(said, '{_INVENTED}') OR (regexp_matches(said, '{Q.INVENTED_IF_LONG}') AND coalesce(n_chars, 0) / 15.0 >= 5) THEN 'allucinazione_tipica' END AS made
+FROM (SELECT doc_id, n_chars, trim(coalesce(text, '')) AS said, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS ws FROM documents) d
 LEFT JOIN (SELECT doc_id AS id, max(c) AS most FROM (SELECT doc_id, gram, count(*) AS c FROM (SELECT doc_id, w1 || ' ' || w2 || ' ' || w3 AS gram FROM
 (SELECT doc_id, word AS w1, lead(word) OVER w AS w2, lead(word, 2) OVER w AS w3 FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM
-(SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+') AS ws FROM documents WHERE text IS NOT NULL)) WINDOW w AS (PARTITION BY doc_id ORDER BY pos)) WHERE w3 IS NOT NULL)
+(SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS ws FROM documents WHERE text IS NOT NULL)) WINDOW w AS (PARTITION BY doc_id ORDER BY pos)) WHERE w3 IS NOT NULL)
 GROUP BY ALL) GROUP BY doc_id) g ON g.id = d.doc_id))""")
 def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules on every document; its length at 15 characters a second stands for its duration."""
@@ -158,12 +164,12 @@ def speaker_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT segment_id, printf('%02d:%02d:%02d,%03d', a // 3600000, a // 60000 % 60, a // 1000 % 60, a % 1000) || ' --> ' ||
 printf('%02d:%02d:%02d,%03d', b // 3600000, b // 60000 % 60, b // 1000 % 60, b % 1000) AS times, '[' || coalesce(speaker, 'UNKNOWN') || '] ' || coalesce(text, '') AS line,
 row_number() OVER (PARTITION BY stem ORDER BY start_sec, segment_id) AS n
-FROM (SELECT *, round(start_sec * 1000)::BIGINT AS a, round(end_sec * 1000)::BIGINT AS b FROM segments WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL)""")
+FROM (SELECT *, (floor(start_sec) * 1000 + floor((start_sec - floor(start_sec)) * 1000))::BIGINT AS a, (floor(end_sec) * 1000 + floor((end_sec - floor(end_sec)) * 1000))::BIGINT AS b FROM segments WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL)""")
 def subtitles(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "segments").filter("start_sec is not null and end_sec is not null")
     n = F.row_number().over(Window.partitionBy("stem").orderBy("start_sec", "segment_id")).cast("long")
     line = F.concat(F.lit("["), F.coalesce("speaker", F.lit("UNKNOWN")), F.lit("] "), F.coalesce("text", F.lit("")))
-    return df.select("segment_id", F.concat(T.srt_time(F.col("start_sec")), F.lit(" --> "), T.srt_time(F.col("end_sec"))).alias("times"), line.alias("line"), n.alias("n"))
+    return df.select("segment_id", F.concat(T.srt_time_cut(F.col("start_sec")), F.lit(" --> "), T.srt_time_cut(F.col("end_sec"))).alias("times"), line.alias("line"), n.alias("n"))
 
 
 @query("""WITH t AS (SELECT segment_id, start_sec, end_sec, list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> '') AS ws FROM segments
@@ -184,9 +190,13 @@ def word_frequency_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.join(wide, "word").select("word", "freq_global", *(F.col(q).alias(f"freq_{q}") for q in ("ok", "low", "unreliable")))
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT stem, idx::BIGINT AS idx, w, row_number() OVER (PARTITION BY stem ORDER BY idx) AS rn FROM
+(SELECT stem, idx, len(list_filter(string_split_regex(trim(coalesce(text, '')), '\\s+'), lambda x: x <> '')) AS w, row_number() OVER (PARTITION BY stem, idx ORDER BY segment_id) AS k FROM segments WHERE stem IS NOT NULL AND idx IS NOT NULL) WHERE k = 1 AND w > 0),
+r AS (SELECT stem, idx, w, rn, w AS acc, 0::BIGINT AS part FROM o WHERE rn = 1
+UNION ALL SELECT o.stem, o.idx, o.w, o.rn, CASE WHEN r.acc + o.w > 800 THEN o.w ELSE r.acc + o.w END, CASE WHEN r.acc + o.w > 800 THEN r.part + 1 ELSE r.part END FROM r JOIN o ON o.stem = r.stem AND o.rn = r.rn + 1)
+SELECT stem, part, min(idx) AS first_idx, max(idx) AS last_idx, sum(w)::BIGINT AS words FROM r GROUP BY stem, part""")
 def llm_ready_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of a session cut into parts of about 800 words (greedy, in order)."""
+    """A session's segments in parts of at most about 800 words, in order."""
     return llm_parts(table(spark, sf_dir, "segments"), 800)
 
 
@@ -292,17 +302,20 @@ def published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.changes(previous, docs.filter("lang is not null").select("doc_id", "text"), "doc_id", "text")
 
 
-@query("""SELECT d.doc_id, n.w AS name FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM documents WHERE text IS NOT NULL) d
-JOIN (SELECT DISTINCT lower(trim(voice_name)) AS w FROM speakers_db WHERE voice_name IS NOT NULL) n ON d.w = n.w""")
+@query("""SELECT DISTINCT d.doc_id, n.w AS name FROM (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '\\p{L}+'), ' ') || ' ' AS t FROM documents WHERE text IS NOT NULL) d
+JOIN (SELECT DISTINCT array_to_string(regexp_extract_all(lower(p_name), '\\p{L}+'), ' ') AS w FROM (SELECT 'pane nero' AS p_name UNION ALL SELECT 'Bicicletta' UNION ALL SELECT voice_name FROM speakers_db WHERE voice_name IS NOT NULL)) n
+ON n.w <> '' AND contains(d.t, ' ' || n.w || ' ')""")
 def names_to_hide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold the name of a voice (the guard before publication)."""
-    return publish.names_in_texts(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "speakers_db"), "voice_name")
+    """Documents that hold the name of a voice, or one of two listed names, of one word or more (the guard before publication)."""
+    names = table(spark, sf_dir, "speakers_db").select("voice_name").unionByName(spark.createDataFrame([("pane nero",), ("Bicicletta",)], "voice_name string"))
+    return publish.names_in_texts(table(spark, sf_dir, "documents"), "doc_id", "text", names, "voice_name")
 
 
 @query()
 def neighbour_word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word errors of each segment's text against its words without hesitations of one letter (reference against hypothesis)."""
-    df = table(spark, sf_dir, "segments").filter("text is not null").select("segment_id", T.words_alnum(F.col("text")).alias("ref"))
-    hyp = df.withColumn("hyp", F.filter("ref", lambda w: F.length(w) > 1))
+    """Word errors of each segment's text (hypothesis) against the text before it in its session (reference)."""
+    before = F.lag("text").over(Window.partitionBy("stem").orderBy("idx", "segment_id"))
+    df = table(spark, sf_dir, "segments").select("segment_id", "text", before.alias("_before")).filter("text is not null and _before is not null")
+    hyp = df.select("segment_id", T.words_alnum(F.col("_before")).alias("ref"), T.words_alnum(F.col("text")).alias("hyp"))
     e = hyp.select("segment_id", alignment.word_errors(F.col("ref"), F.col("hyp")).alias("e"))
     return e.select("segment_id", "e.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loquela.functions import text as T
 from loquela.functions.timeutil import clock_parts
 from loquela.operators import ranges, sequence
 from loquela.plans.registry import Registry
@@ -149,5 +150,6 @@ def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, event_type FROM events""")
 def salvaged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of a JSON column, null where it cannot be read."""
-    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"), "event_type")
+    """Fields of JSON objects salvaged from replies that fence them, talk around them and leave commas before closing brackets."""
+    reply = F.concat(F.lit("Ecco:\n```json\n"), F.regexp_replace("props", r"\}\s*$", ",}"), F.lit("\n```\nfine"))
+    return table(spark, sf_dir, "events").select("event_id", F.from_json(T.salvaged_object(reply), "k long")["k"].alias("k"), "event_type")

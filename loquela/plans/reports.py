@@ -16,7 +16,8 @@ query = Registry()
 QUERIES, SQL = query.queries, query.sql
 
 #: Discourse fillers of the daily metrics.
-FILLERS = ["allora", "cioè", "insomma", "niente", "praticamente", "quindi", "tipo"]
+#: Filler words of the daily metrics.
+FILLERS = ["cioè", "tipo", "praticamente", "insomma", "boh", "diciamo", "ecco", "comunque", "vabbè", "allora", "quindi", "niente", "senti", "guarda", "appunto", "magari"]
 _FILLERS = ", ".join(f"'{w}'" for w in FILLERS)
 
 

@@ -45,11 +45,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a folder of its own only where none is set (tests)."""
+    """The shared folder of spark.checkpoint.dir; a folder of its own only where none is set and all tasks run in this process (tests)."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="loquela-checkpoint-"))
     return jsc.getCheckpointDir().get()
 

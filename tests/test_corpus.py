@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ def one(spark, column, value, kind="string"):
         (T.words_alnum, "C'è, l'Università 2!", ["c", "è", "l", "università", "2"]),
         (T.index_word, " «Oggi», ", "oggi"),
         (T.correction_word, "l'al.tro!", "laltro"),
-        (T.keep_two_repeats, "Sì. Sì. Sì. No.", "Sì. Sì. No."),
+        (T.keep_two_repeats, "Sì. sì. Sì. No.", "Sì. sì. No."),
         (T.sentences, "Io vado. Tu vieni? ...", ["Io vado.", " Tu vieni?"]),
     ],
 )
@@ -31,8 +34,15 @@ def test_times(spark):
     assert one(spark, T.hms(F.col("x")), 88260.0, "double") == "24:31:00"
     assert one(spark, T.srt_time(F.col("x")), 59.9996, "double") == "00:01:00,000"
     assert one(spark, T.dotted(F.col("x")), 1234567, "long") == "1.234.567"
-    assert one(spark, T.recording_time(F.col("x")), "R2025-10-05-09-39-09.WAV").isoformat() == "2025-10-05T09:39:09"
-    assert one(spark, T.recording_time(F.col("x")), "untitled.mp3") is None
+    assert one(spark, T.recording_time(F.col("x")), "R2025-10-05_09-39-09.WAV").isoformat() == "2025-10-05T09:39:09"
+    names = {"20251005_093909": "2025-10-05T09:39:09", "REC 05-10-2025 09.39.09.wav": "2025-10-05T09:39:09", "05102025-093909.wav": "2025-10-05T09:39:09", "202510050939": "2025-10-05T09:39:00", "00000101_000000": None, "20251331_093909": None, "R2025-10-05-09-39-09.WAV": None, "untitled.mp3": None}
+    df = spark.createDataFrame(list(names.items()), "x string, want string")
+    got = {x["x"]: x["at"] for x in df.select("x", T.recording_time(F.col("x")).alias("at")).collect()}
+    assert {k: v and v.isoformat() for k, v in got.items()} == names
+    assert one(spark, T.srt_time_cut(F.col("x")), 59.9996, "double") == "00:00:59,999"
+    assert one(spark, F.array_join(T.index_words(F.col("x")), "|"), "Oggi, l'altro «2» — …sì!") == "oggi|l'altro|2|sì"
+    assert one(spark, F.from_json(T.salvaged_object(F.col("x")), "a array<int>")["a"], 'Ecco ```json {"a": [1, 2,], } ``` ok') == [1, 2]
+    assert one(spark, T.salvaged_object(F.col("x")), "niente") is None
 
 
 def test_blocks_and_conversations(spark):
@@ -63,13 +73,17 @@ def test_quality_rules(spark):
         r = df.select(quality.reasons(F.col("t"), F.col("s"), F.col("n"), F.coalesce("p", F.array().cast("array<double>"))).alias("r"))
         return tuple(r.select(F.array_join("r", ";"), quality.level(F.col("r"))).first())
 
-    assert judge("no no no no no no no", 3.0) == ("ripetizione", "unreliable")
+    assert judge("no no no no no no no", 3.0) == ("ripetizione_n3", "unreliable")
     assert judge("che dice che dice che cosa dice", 3.0) == ("", "ok")
-    assert judge("", 3.0) == ("vuoto", "unreliable") and judge(None, 3.0)[1] == "unreliable"
+    assert judge("", 3.0) == ("testo_vuoto", "unreliable") and judge(None, 3.0)[1] == "unreliable"
     assert judge("va bene", 1.0) == ("pochi_parole:2", "low")
-    assert judge("uno due tre quattro", 0.4)[0] == "ritmo"
-    assert judge("uno due tre quattro", 2.0, 0.6)[0] == "no_speech"
-    assert judge("uno due tre quattro", 2.0, 0.1, [0.1, 0.9, 0.9, 0.9])[0] == "parole_incerte"
+    assert judge("uno due tre quattro", 0.4)[0] == "ritmo_fuori_scala:10.0wps"
+    assert judge("uno due tre quattro", 2.0, 0.6)[0] == "no_speech:0.6"
+    assert judge("uno due tre quattro", 2.0, 0.1, [0.1, 0.9, 0.9, 0.9]) == ("troppe_parole_insicure:25%", "low")
+    assert judge("uno due tre quattro", 2.0, 0.1, [0.3, 0.2, 0.3, 0.3]) == ("prob_parole_bassa:0.28;troppe_parole_insicure:100%", "low")
+    assert judge("Grazie per la visione!", 3.0)[0] == "allucinazione_tipica" and judge("Sottotitoli a cura di tutti noi", 3.0)[1] == "unreliable"
+    assert judge("Grazie a tutti.", 2.0) == ("", "ok") and judge("Grazie a tutti.", 6.0)[0] == "allucinazione_tipica" and judge("Grazie mille", 1.0, None, [0.7, 0.6])[0] == "pochi_parole:2;allucinazione_tipica"
+    assert judge("Frasi brevi, punteggiatura completa e poi", 3.0)[0] == "prompt_nel_testo"
 
 
 def test_word_errors(spark):
@@ -80,9 +94,44 @@ def test_word_errors(spark):
 
 def test_alignment():
     assert alignment.align_probabilities(["c'è", "pane"], [("c", 0.9), ("'è", 0.5), ("pane", 0.8)]) == [0.5, 0.8]
-    spoken = [("ciao", "A"), ("come", "A"), ("stai", "A"), ("bene", "B"), ("grazie", "B")]
-    assert alignment.turn_split("Ciao come stai bene grazie".split(), spoken) == [(0, 3, "A"), (3, 5, "B")]
-    assert alignment.turn_split([], spoken) == []
+    assert alignment.align_probabilities(["il", "zzz", "c'è", "", "pane"], [("il", 0.9), ("c", None), ("'è", 0.5), ("pane", None)]) == [0.9, None, 0.5, None, None]
+    assert alignment.align_probabilities(["a"], []) == [None]
+    spoken = [("ciao", "A", 0.0), ("come", "A", 0.4), ("stai", "A", 0.8), ("bene", "B", 2.0), ("grazie", "B", 2.4)]
+    assert alignment.turn_split("Ciao come stai bene grazie".split(), spoken) == [(0, 3, "A", 0.0), (3, 5, "B", 2.0)]
+    assert alignment.turn_split([], spoken) == [] and alignment.turn_split(["a"], []) == [(0, 1, "UNKNOWN", None)]
+    lone = [("ciao", "B"), ("come", "A"), ("stai", "A"), ("oggi", "B"), ("qui", "A"), ("bene", "B"), ("grazie", "B")]
+    assert alignment.turn_split("Ciao come stai oggi qui bene grazie".split(), lone) == [(0, 5, "A", None), (5, 7, "B", None)]
+    assert alignment.turn_split("Ciao carissimo come bene molte grazie".split(), spoken) == [(0, 3, "A", 0.0), (3, 6, "B", 2.0)]
+
+
+def test_edit_alignment_against_brute_force():
+    rng = random.Random(2)
+    for _ in range(60):
+        a, b = ([rng.choice("xyz") for _ in range(rng.randrange(7))] for _ in range(2))
+        cost = {}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                ways = [cost[i - 1, j - 1] + (a[i - 1] != b[j - 1])] if i and j else []
+                cost[i, j] = min(ways + ([cost[i - 1, j] + 1] if i else []) + ([cost[i, j - 1] + 1] if j else []), default=0)
+        pairs = alignment.edit_alignment(a, b)
+        assert [i for i, _ in pairs if i is not None] == list(range(len(a))) and [j for _, j in pairs if j is not None] == list(range(len(b)))
+        assert sum(i is None or j is None or a[i] != b[j] for i, j in pairs) == cost[len(a), len(b)]
+    assert alignment.edit_alignment(["a", "b"], ["b"]) == [(0, None), (1, 0)] and alignment.edit_alignment(["a", "a"], ["a"]) == [(0, None), (1, 0)]
+
+
+def test_session_folds(spark):
+    rows = [(i, "s", i, "parola " * n if n else t, float(30 * i), float(30 * i + d)) for i, (n, t, d) in enumerate([(500, "", 5), (300, "", 5), (1, "", 70), (0, "  ", 5), (900, "", 5), (0, None, 5)])]
+    df = spark.createDataFrame([*rows, (99, "s", 0, "doppio", None, None)], "segment_id long, stem string, idx int, text string, start_sec double, end_sec double").withColumn("part", F.lit(0))
+    assert [tuple(r) for r in corpus.llm_parts(df, 800).orderBy("part").collect()] == [("s", 0, 0, 1, 800), ("s", 1, 2, 2, 1), ("s", 2, 4, 4, 900)]
+    got = [tuple(r)[1:] for r in corpus.pack_by_time(df, 35.5).orderBy("chunk").collect()]
+    assert got == [(0, 0.0, 35.0, 2), (1, 60.0, 95.5, 1), (2, 95.5, 130.0, 1), (3, 90.0, 125.0, 2), (4, 150.0, 155.0, 1)]
+    assert corpus.llm_parts(df.limit(0), 800).count() == 0 and corpus.pack_by_time(df.limit(0), 29.0).count() == 0
+
+
+def test_names_of_several_words(spark):
+    docs = spark.createDataFrame([(1, "Ieri Anna Maria Rossi, qui"), (2, "anna e maria rossi"), (3, None), (4, "")], "k int, t string")
+    names = spark.createDataFrame([("Anna Maria",), ("rossi",), (None,), (" ",)], "n string")
+    assert {tuple(r) for r in publish.names_in_texts(docs, "k", "t", names, "n").collect()} == {(1, "anna maria"), (1, "rossi"), (2, "rossi")}
 
 
 def test_guard(spark):
@@ -139,11 +188,22 @@ def test_parts_and_blocks(spark):
     assert corpus.bigrams(df.limit(0)).count() == 0
 
 
+def test_weak_clusters():
+    unit = lambda *x: np.array(x, float) / np.linalg.norm(x)
+    many = {f"c{i:02d}": unit(1, 0.001 * i) for i in range(60)}
+    heirs = identity.absorb_weak(sorted(many), {k: 1.0 + (k == "c00") * 500 for k in many}, dict(many), 90.0, 0.45)
+    assert set(heirs.values()) == {"c00"}  # no bound on the number of merges
+    names, vectors = ["a", "b", "c"], {"a": unit(1, 0), "b": unit(1, 0.1), "c": unit(0, 1)}
+    assert identity.absorb_weak(names, {"a": 80.0, "b": 10.0, "c": 5.0}, dict(vectors), 90.0, 0.45) == {"a": "a", "b": "a", "c": "c"}
+    assert identity.absorb_weak(names, {"a": 500.0, "b": 400.0, "c": 300.0}, dict(vectors), 90.0, 0.45) == {k: k for k in names}
+    assert identity.absorb_weak(["a", "b"], {"a": 1.0, "b": 2.0}, {"a": None, "b": unit(1, 0)}, 90.0, 0.45) == {"a": "a", "b": "b"}
+
+
 def test_packing(spark):
     rows = [("s", 0.0, 10.0), ("s", 10.0, 29.0), ("s", 29.0, 30.0), ("s", 31.0, 99.0), ("s", 100.0, 101.0), ("s", None, 5.0), ("t", 1.0, 1.0)]
     df = spark.createDataFrame(rows, "stem string, start_sec double, end_sec double")
     got = sorted((r["stem"], r["chunk"], r["first_start"], r["last_end"]) for r in corpus.pack_by_time(df, 29.0).collect())
-    assert got == [("s", 0, 0.0, 29.0), ("s", 1, 29.0, 30.0), ("s", 2, 31.0, 99.0), ("s", 3, 100.0, 101.0), ("t", 0, 1.0, 1.0)]
+    assert got == [("s", 0, 0.0, 29.0), ("s", 1, 29.0, 30.0), ("s", 2, 31.0, 60.0), ("s", 3, 60.0, 89.0), ("s", 4, 89.0, 99.0), ("s", 5, 100.0, 101.0), ("t", 0, 1.0, 1.0)]
     assert corpus.pack_by_time(df.limit(0), 29.0).count() == 0
 
 
