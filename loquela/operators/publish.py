@@ -16,14 +16,29 @@ def changes(previous: DataFrame, current: DataFrame, key: str, content: str) ->
     return both.select(key, action.alias("action")).filter("action is not null")
 
 
-def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
-    """key and name of every text that holds a name to hide as successive words: an equi-join on the name's first word, then the rest."""
-    words = texts.filter(F.col(text).isNotNull()).select(key, words_letters(F.col(text)).alias("_ws"))
-    spread = words.select(key, F.concat(F.lit(" "), F.array_join("_ws", " "), F.lit(" ")).alias("_t"), F.explode(F.array_distinct("_ws")).alias("_w"))
+#: Characters of all distinct names together up to which the names are sent to every task.
+BROADCAST_CHARS = 4_000_000
+
+
+def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name: str, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+    """key and name, once each, of every text that holds a name to hide as successive words: an equi-join on the whole name.
+
+    The runs of words of a text that are as long as some name meet the names; neither the text nor names that only begin
+    alike go with them. Few names are broadcast, so that no text is shuffled; many meet in a shuffle of keys and runs.
+    """
     hidden = names.filter(F.col(name).isNotNull()).select(F.array_join(words_letters(F.col(name)), " ").alias("name")).filter("name <> ''").distinct()
-    first = hidden.withColumn("_w", F.split_part("name", F.lit(" "), F.lit(1)))
-    held = spread.join(first, "_w").filter(F.contains(F.col("_t"), F.concat(F.lit(" "), F.col("name"), F.lit(" "))))
-    return held.select(key, "name")
+    sizes = hidden.agg(F.sum(F.length("name")).alias("chars"), F.collect_set(F.size(F.split("name", " "))).alias("lengths")).first()
+    hidden = hidden.hint("broadcast" if (sizes["chars"] or 0) <= broadcast_chars else "merge")
+    return word_runs(texts, key, text, sizes["lengths"]).join(hidden, "name").select(key, "name").distinct()
+
+
+def word_runs(texts: DataFrame, key: str, text: str, lengths: list[int]) -> DataFrame:
+    """key and name: every distinct run of `lengths` successive words of each text."""
+    words = texts.filter(F.col(text).isNotNull()).select(key, words_letters(F.col(text)).alias("_ws"))
+    one = [F.col("_ws")] if 1 in lengths else []
+    fit = F.filter(F.lit(sorted(set(lengths) - {1})).cast("array<int>"), lambda n: n <= F.size("_ws"))
+    runs = F.flatten(F.transform(fit, lambda n: F.transform(F.sequence(F.lit(1), F.size("_ws") - n + 1), lambda i: F.array_join(F.slice("_ws", i, n), " "))))
+    return words.select(key, F.explode(F.array_distinct(F.concat(*one, runs))).alias("name"))
 
 
 def lower_vocabulary(texts: DataFrame, text: str) -> DataFrame:

@@ -134,6 +134,19 @@ def test_names_of_several_words(spark):
     assert {tuple(r) for r in publish.names_in_texts(docs, "k", "t", names, "n").collect()} == {(1, "anna maria"), (1, "rossi"), (2, "rossi")}
 
 
+@pytest.mark.parametrize("broadcast_chars", [publish.BROADCAST_CHARS, 0])
+def test_names_meet_texts_as_whole_names(spark, broadcast_chars):
+    docs = spark.createDataFrame([(1, "Voce Anna, voce anna rossi."), (1, "voce Anna"), (2, "voce di Rossi"), (3, None), (4, "!"), (None, "rossi")], "k long, t string")
+    names = spark.createDataFrame([("Voce Anna",), ("voce anna rossi",), ("rossi",), *((f"voce {chr(97 + i // 26)}{chr(97 + i % 26)}",) for i in range(600))], "n string")
+    held = publish.names_in_texts(docs, "k", "t", names, "n", broadcast_chars)
+    assert sorted(map(tuple, held.filter("k is not null").collect())) == [(1, "rossi"), (1, "voce anna"), (1, "voce anna rossi"), (2, "rossi"), (2, "voce di")]
+    assert [tuple(r) for r in held.filter("k is null").collect()] == [(None, "rossi")]
+    long = spark.createDataFrame([(1, " ".join(chr(97 + i % 26) * (i // 26 + 1) for i in range(2000)))], "k long, t string")
+    runs = publish.word_runs(long, "k", "t", [1, 3, 5000])
+    assert runs.columns == ["k", "name"] and runs.count() == 2000 + 1998  # no copy of the text, nor runs of words longer than it
+    assert publish.names_in_texts(docs, "k", "t", names.limit(0), "n", broadcast_chars).count() == 0
+
+
 def test_guard(spark):
     df = spark.createDataFrame([("matiala", "materia", 0.3), ("anna", "Anna", 0.3), ("pane", "pan", 0.95), ("pane", "", 0.1), ("casa", "zebre", 0.1)], "a string, b string, p double")
     assert [r["blocked"] for r in alignment.guard(df, "a", "b", "p").collect()] == [None, "name", "certain", "shape", "distance"]
