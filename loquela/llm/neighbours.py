@@ -2,15 +2,19 @@
 
 A hierarchical k-means tree is fitted on the driver from a bounded sample (a quarter of the distinct vectors, at most
 `SAMPLE`, first by hash) and broadcast. It has a leaf for every `LEAF_ROWS` vectors of the table, as long as the sample has
-`LEAF_SAMPLE` vectors for each, so leaves grow in number with the table, not in size. Every distinct vector is indexed: it lies in
-the leaf that best-bin-first traversal reaches first. As a query it goes on through the priority queue, which opens one
-node at a time and scores only that node's children, and visits more leaves. How many is calibrated on `HELD_OUT` vectors kept out
-of the fit: brute force over the whole table gives their neighbours, and visits widen until `TARGET_RECALL` of these pairs meet.
+`LEAF_SAMPLE` vectors for each, so leaves grow in number with the table, not in size. Best-bin-first traversal goes through a
+priority queue, which opens one node at a time and scores only that node's children. The centre of an inner node is farther
+from its vectors than that of a leaf; what the best node of a level lacks on average is added in the queue (`even`), so
+that leaves under several branches are reached in order and not one branch after the other.
 
-Queries and members meet per leaf in one shuffle and serve both directions. A vector is sent whole once, to its leaf, and
-as a query in half precision to the leaves it visits; no member is copied for the sake of a query. Blocks of queries are
-multiplied with the leaf's matrix, and only the best k of each query and of each member go on to be merged. A crowded
-region has its share of the sample and so of the leaves.
+Every distinct vector lies in the first leaves of its traversal, as many for each, and two vectors meet if they share one.
+How many is calibrated on `HELD_OUT` vectors kept out of the fit: brute force over the whole table gives their neighbours,
+and leaves are added until `TARGET_RECALL` of these pairs meet.
+
+To a leaf a vector goes with 16 bits an entry. Blocks of a leaf's vectors are multiplied with the others, and only the best k
+of each vector go on to be merged. All leaves are not filled at once: they are dealt to as many passes as keep one pass
+to about half the bytes of the vectors themselves (`PASS_BYTES` at least), and a pass leaves only the best k so far of each vector.
+A crowded region has its share of the sample and so of the leaves.
 
 Exact copies are folded first, so a group of copies of any size is one vector: of its ids the k + 1 smallest settle the
 near copies of all its members, since equal similarities are ordered by id.
@@ -32,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loquela.session import cut
+from loquela.session import cut, sweep
 
 SAMPLE, LEAF_ROWS, LEAF_SAMPLE, BRANCHING, HELD_OUT, TARGET_RECALL = 65_536, 1024, 12, 64, 512, 0.997
 #: Leaves looked at first in calibration; doubled until the target is met.
 FIRST_LEAVES = 32
+#: Bytes that the leaves of one pass may hold in any case, and of a row there besides its entries.
+PASS_BYTES, ROW_BYTES = 128_000_000, 24
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +58,7 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
 
 
 class KMeansTree:
-    """Hierarchical k-means over unit vectors. Node 0 is the root; `leaf[node]` numbers the leaves, -1 elsewhere."""
+    """Hierarchical k-means over unit vectors. Node 0 is the root; `leaf[node]` numbers the leaves, -1 elsewhere; `lift` is added in the queue."""
 
     def __init__(self, x: np.ndarray, branching: int = BRANCHING, leaf_size: int = LEAF_SAMPLE, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
@@ -61,7 +67,7 @@ class KMeansTree:
         work = [(0, np.arange(len(x)))]
         while work:
             node, rows = work.pop()
-            if len(rows) <= leaf_size:
+            if len(rows) <= (leaf_size if node == 0 else 2 * leaf_size):  # parts of two or three leaves are many and cost a node each
                 continue
             centre, own = _kmeans(x[rows], min(branching, -(-len(rows) // leaf_size)), rng)
             used = np.unique(own)
@@ -77,6 +83,20 @@ class KMeansTree:
         ends = [n for n, c in enumerate(self.children) if not c]
         self.leaf[ends] = np.arange(len(ends))
         self.leaves = len(ends)
+        self.lift = np.zeros(len(centres), dtype=np.float32)
+
+    def even(self, x: np.ndarray) -> None:
+        """Make the levels equal in the queue: by how much the best inner node of a level is on average farther from `x` than the best leaf."""
+        if self.leaves < 2 or not len(x):
+            return
+        depth = np.zeros(len(self.leaf), dtype=np.int64)
+        for node, children in enumerate(self.children):
+            depth[children] = depth[node] + 1  # a child comes after its parent
+        s = x.astype(np.float32) @ self.centres.T
+        best = s[:, self.leaf >= 0].max(1).mean()
+        for d in np.unique(depth[self.leaf < 0]):
+            level = (depth == d) & (self.leaf < 0)
+            self.lift[level] = best - s[:, level].max(1).mean()
 
     def visit(self, x: np.ndarray, n_leaves: int) -> list[list[int]]:
         """The first `n_leaves` leaves of each row's best-bin-first traversal; only the children of opened nodes are scored."""
@@ -95,7 +115,7 @@ class KMeansTree:
                     seen.append(leaf[node])
             for node, rows in opened.items():
                 children = self.children[node]
-                near = -(x[rows] @ self.centres[children].T)
+                near = -(x[rows] @ self.centres[children].T) - self.lift[children]
                 # No more children of a node are needed than leaves are to be visited.
                 keep = np.argpartition(near, n_leaves, axis=1)[:, :n_leaves] if n_leaves < len(children) else np.broadcast_to(np.arange(len(children)), near.shape)
                 for i, values, places in zip(rows, np.take_along_axis(near, keep, 1).tolist(), keep.tolist()):
@@ -105,14 +125,17 @@ class KMeansTree:
             waiting = [i for rows in opened.values() for i in rows]
         return found
 
-    def calibrate(self, pairs: list[tuple[int, int]], x: np.ndarray, target: float = TARGET_RECALL) -> int:
-        """Leaves to visit until the pairs (rows of `x`) meet. A pair meets if either vector visits the leaf of the other."""
+    def calibrate(self, pairs: list[tuple[int, int]], x: np.ndarray, target: float = TARGET_RECALL, shared: bool = False) -> int:
+        """Leaves to visit until the pairs (rows of `x`) meet: if either vector visits the first leaf of the other or, with `shared`, if both visit one leaf."""
         if not pairs:
             return 1
         most = min(FIRST_LEAVES, self.leaves)
         visits, n = self.visit(x, most), 1
         while n < self.leaves:
-            met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in pairs)
+            if shared:
+                met = sum(not set(visits[q][:n]).isdisjoint(visits[b][:n]) for q, b in pairs)
+            else:
+                met = sum(visits[b][0] in visits[q][:n] or visits[q][0] in visits[b][:n] for q, b in pairs)
             if met >= target * len(pairs):
                 break
             n += 1
@@ -124,13 +147,13 @@ class KMeansTree:
     def dump(self) -> bytes:
         buffer = io.BytesIO()
         flat = np.array([c for cs in self.children for c in cs], dtype=np.int64)
-        np.savez(buffer, centres=self.centres, leaf=self.leaf, flat=flat, sizes=np.array([len(c) for c in self.children]))
+        np.savez(buffer, centres=self.centres, leaf=self.leaf, lift=self.lift, flat=flat, sizes=np.array([len(c) for c in self.children]))
         return buffer.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> KMeansTree:
         z, tree = np.load(io.BytesIO(data)), cls.__new__(cls)
-        tree.centres, tree.leaf = z["centres"], z["leaf"]
+        tree.centres, tree.leaf, tree.lift = z["centres"], z["leaf"], z["lift"]
         ends = np.cumsum(z["sizes"])
         tree.children = [z["flat"][e - s : e].tolist() for s, e in zip(z["sizes"], ends)]
         tree.leaves = int(tree.leaf.max()) + 1
@@ -166,30 +189,26 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     return sized.mapInArrow(run, "id long, key binary, vec binary")
 
 
+def _coded(x: np.ndarray) -> list[bytes]:
+    """Rows with 16 bits an entry in proportion to the largest, which `_unit` undoes: errors of a cosine are some 1e-6."""
+    return [row.tobytes() for row in np.rint(x * (32767 / np.abs(x).max(1, keepdims=True))).astype(np.int16)]
+
+
 def _router(tree, n_leaves: int):
-    """uid, vec -> one row as member of its home leaf (role 0), one in half precision as query of each visited leaf (role 1)."""
+    """uid, vec -> uid, the vector as coded and its leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = KMeansTree.load(tree.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
-                uid, vec = batch.column(0), batch.column(1)
-                x = _unit(vec)
-                visits = index.visit(x, n_leaves)
-                home = pa.RecordBatch.from_arrays([pa.array([v[0] for v in visits], pa.int32()), pa.array(np.zeros(len(visits), np.int32)), uid, vec], names=_ROUTED)
-                yield home
-                half = pa.array([row.tobytes() for row in x.astype(np.float16)], pa.binary())
-                pick = pa.array(np.repeat(np.arange(len(visits)), [len(v) for v in visits]))
-                leaf = pa.array(np.fromiter((n for v in visits for n in v), np.int32))
-                yield pa.RecordBatch.from_arrays([leaf, pa.array(np.ones(len(pick), np.int32)), uid.take(pick), half.take(pick)], names=_ROUTED)
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                x = _unit(batch.column(1))
+                leaves = pa.array(index.visit(x, n_leaves), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_coded(x), pa.binary()), leaves], names=["uid", "vec", "leaves"])
 
     return run
 
 
-_ROUTED = ["leaf", "role", "uid", "vec"]
-
-
 def exact_nearest(groups: DataFrame, queries: np.ndarray, uids: np.ndarray, k: int, least: float) -> pa.Table:
     """uid, other, cos and vec: the k nearest of a few queries among all rows, by brute force over each partition."""
 
@@ -225,31 +244,24 @@ def _best_of(owner: np.ndarray, other: np.ndarray, cos: np.ndarray, k: int) -> t
 
 
 def _leaf_best(k: int, least: float):
-    """The best k members for each query of a block, and the best k queries for each member.
+    """The best k of the others in the leaf for each of its vectors.
 
-    Only values of at least `least` are looked at, chunk by chunk; the members' best are kept up from chunk to chunk.
+    Only values of at least `least` are looked at, chunk by chunk of each vector against those behind it; the best of both are kept up.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        role, uid = table.column("role").to_numpy(), table.column("uid").to_numpy()
-        members, queries = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        out, held = [none], none
-        if len(members) and len(queries):
-            vec = table.column("vec").combine_chunks()
-            m, own = np.ascontiguousarray(_unit(vec.take(pa.array(members))).astype(np.float32).T), uid[members]
-            step = max(64, min(1024, 4_000_000 // len(members)))
-            for start in range(0, len(queries), step):
-                q = queries[start : start + step]
-                s = _unit(vec.take(pa.array(q)), np.float16).astype(np.float32) @ m
-                r, c = np.nonzero(s >= least)
-                a, b, v = uid[q][r], own[c], s[r, c]
-                apart = a != b
-                a, b, v = a[apart], b[apart], v[apart]
-                out.append(_best_of(a, b, v, k))
-                held = _best_of(np.r_[held[0], b], np.r_[held[1], a], np.r_[held[2], v], k)
-        out.append(held)
-        return pa.table(dict(zip(("uid", "other", "cos"), (np.concatenate([o[i] for o in out]) for i in range(3)))))
+        uid, x = table.column("uid").to_numpy(), _unit(table.column("vec"), np.int16).astype(np.float32)
+        held, n, start = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), len(uid), 0
+        while start < n - 1:
+            end = min(n, start + max(64, min(1024, 4_000_000 // (n - start))))
+            s = x[start:end] @ x[start:].T
+            at = np.flatnonzero(s.ravel() >= least)
+            r, c = np.divmod(at, n - start)
+            ahead = c > r
+            a, b, v = uid[start + r[ahead]], uid[start + c[ahead]], s.ravel()[at[ahead]]
+            held = _best_of(np.r_[held[0], a, b], np.r_[held[1], b, a], np.r_[held[2], v, v], k)
+            start = end
+        return pa.table(dict(zip(("uid", "other", "cos"), held)))
 
     return run
 
@@ -263,14 +275,30 @@ def near_distinct(groups: DataFrame, k: int, least: float, sample: int = SAMPLE,
     held_out = min(HELD_OUT, len(x) // 4)
     fit = x[held_out:].astype(np.float32)
     tree = KMeansTree(fit, leaf_size=max(LEAF_SAMPLE, -(-len(fit) * LEAF_ROWS // max(n, 1))))
+    tree.even(x[:held_out])
     if leaves is None:
         leaves = calibrated(tree, groups, x[:held_out], taken.column("uid").to_numpy()[:held_out], k, least) if held_out else tree.leaves
     shared = spark.sparkContext.broadcast(tree.dump())
-    routed = groups.select("uid", "vec").mapInArrow(_router(shared, leaves), "leaf int, role int, uid long, vec binary")
-    best = routed.groupBy("leaf").applyInArrow(_leaf_best(k, least), "uid long, other long, cos double")
-    best = best.groupBy("uid", "other").agg(F.max("cos").alias("cos"))
-    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("cos"), "other"))
-    return best.withColumn("_n", rank).filter(f"_n <= {k}").drop("_n")
+    routed = groups.select("uid", "vec").mapInArrow(_router(shared, leaves), "uid long, vec binary, leaves array<int>")
+    n_passes = passes(n, x.shape[1], leaves)
+    if n_passes > 1:
+        sweep(spark)
+        routed = cut(routed)
+    rank, best = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("cos"), "other")), None
+    for p in range(n_passes):
+        filled = routed.select("uid", "vec", F.explode(F.filter("leaves", lambda leaf: leaf % n_passes == p)).alias("leaf"))
+        met = filled.groupBy("leaf").applyInArrow(_leaf_best(k, least), "uid long, other long, cos double")
+        met = (met if best is None else best.unionByName(met)).repartition("uid").groupBy("uid", "other").agg(F.max("cos").alias("cos"))
+        best = met.withColumn("_n", rank).filter(f"_n <= {k}").drop("_n")
+        if n_passes > 1:
+            sweep(spark)
+            best = cut(best)
+    return best
+
+
+def passes(n: int, dim: int, leaves: int) -> int:
+    """Passes over the leaves, each of about half as many bytes as the vectors have, or `PASS_BYTES`."""
+    return max(1, -(-n * leaves * (2 * dim + ROW_BYTES) // max(PASS_BYTES, 2 * dim * n)))
 
 
 def calibrated(tree: KMeansTree, groups: DataFrame, queries: np.ndarray, uids: np.ndarray, k: int, least: float) -> int:
@@ -278,7 +306,7 @@ def calibrated(tree: KMeansTree, groups: DataFrame, queries: np.ndarray, uids: n
     exact = exact_nearest(groups, queries, uids, k, least)
     place = {u: i for i, u in enumerate(uids.tolist())}
     pairs = list(zip((place[u] for u in exact.column("uid").to_pylist()), range(len(queries), len(queries) + exact.num_rows)))
-    return tree.calibrate(pairs, np.concatenate([queries, _unit(exact.column("vec"))]) if exact.num_rows else queries)
+    return tree.calibrate(pairs, np.concatenate([queries, _unit(exact.column("vec"))]) if exact.num_rows else queries, shared=True)
 
 
 def nearest_vectors(df: DataFrame, key: str, vector: str, dim: int, k: int = 5, least: float = 0.70, sample: int = SAMPLE, leaves: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -64,3 +65,9 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Give up the files of shuffles and checkpoints that nothing refers to any more; Spark does so when the driver's JVM collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

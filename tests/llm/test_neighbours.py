@@ -97,3 +97,36 @@ def test_leaves_grow_with_the_table_and_only_opened_nodes_are_scored():
     many.centres = many.centres.view(Watched)
     many.visit(x[:1], 3)
     assert sum(scored) < len(many.leaf) / 2
+
+
+def test_vectors_share_few_leaves_under_several_branches():
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((3000, 32))
+    x = np.concatenate([centres + 0.45 * rng.standard_normal(centres.shape) for _ in range(4)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = nb.KMeansTree(x[rng.permutation(len(x))].astype(np.float32), branching=32, leaf_size=10)
+    pairs, asked = [(i, 300 + i) for i in range(300)], np.concatenate([x[:300], x[3000:3300]])
+    before = tree.calibrate(pairs, asked)
+    tree.even(x[6000:6300])
+    assert tree.lift.any() and not tree.lift[tree.leaf >= 0].any()
+    n = tree.calibrate(pairs, asked, shared=True)
+    visits = nb.KMeansTree.load(tree.dump()).visit(asked, n)
+    assert sum(bool(set(visits[q]) & set(visits[b])) for q, b in pairs) >= nb.TARGET_RECALL * len(pairs)
+    assert n <= before / 3  # so a vector goes to fewer leaves than when one of the two had to reach the first leaf of the other
+
+
+def test_passes_bound_the_disk_and_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((60, 16))
+    rows = [(i, (centres[i % 60] + 0.4 * rng.standard_normal(16)).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "voice long, c array<float>")
+    found = lambda: {tuple(r) for r in nb.nearest_vectors(df, "voice", "c", 16, leaves=2).collect()}
+    whole, swept = found(), []
+    monkeypatch.setattr(nb, "PASS_BYTES", 1)
+    monkeypatch.setattr(nb, "sweep", lambda spark: swept.append(1))
+    assert nb.passes(900, 16, 2) == 4 and found() == whole and len(whole) > 3000 and len(swept) >= 4
+    monkeypatch.undo()
+    assert nb.passes(60_000, 128, 5) == 1
+    # A table of 6.2 GB: no pass holds more than the vectors do.
+    n = nb.passes(8_600_000, 128, 40)
+    assert 8_600_000 * 40 * (2 * 128 + nb.ROW_BYTES) / n <= 8_600_000 * 2 * 128
