@@ -100,3 +100,15 @@ def test_the_model_decides(spark):
     assert len(got & cuts) >= 0.9 * len(cuts) and len(got - cuts) <= 0.05 * len(cuts)
     # A model of no contexts gives every end the same probabilities.
     assert len(found(T.EndModel([])) & cuts) < 0.5 * len(cuts)
+
+
+def test_all_texts_count(spark):
+    rows = [(i, f"La zia {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} dorme. Il nonno ride e poi torna.", "it", "a") for i in range(9000)] + [(9001, "La zia dorme. Il nonno rid", "it", "a")]
+    df = spark.createDataFrame(rows + rows[:50], "doc_id long, text string, lang string, source string")
+    asked = df.filter("doc_id >= 9000").select(F.col("doc_id").alias("id"), *(F.lit(0).cast(t).alias(c) for c, t in (("folded", "long"), ("source", "string"), ("lang", "string"), ("style", "string"), ("chars", "int"), ("bytes", "int"), ("blank_tail", "boolean"))), F.col("text").alias("tail"))
+    ends, rate, texts = T.counted_ends(df.select("text"), asked.mapInArrow(T._ends, T._END_SCHEMA))
+    got, model = ends.collect(), T.EndModel([t for _, t, *_ in rows])
+    word, end, short, long, *_ = model.final([T.stream("La zia dorme. Il nonno rid")[0]])
+    assert texts == 9001 and rate == pytest.approx(model.end_rate)  # the sample ended at 8,000
+    assert [got[0][c] for c in ("p_word", "p_end", "short_times", "long_times")] == pytest.approx([word[0], end[0], short[0], long[0]], rel=1e-4)
+    assert got[0]["short_times"] == 9000
